@@ -4,16 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltlake.llm import minhash
+from siltlake.llm import media, minhash, packing, secrets, unigram
 from siltlake.llm.common import read_table
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_of_texts(read_table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.encode_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.count_tokens(read_table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), minhash.MinHashParams(words=2))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_secret_scans": op1_secret_scans,
+    "op3_media_columns": op3_media_columns,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op8_token_counts": op8_token_counts,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {}
