@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import discard, materialise, slices
+from siltlake.llm.common import bloom_join, discard, materialise, slices
 
 
 @dataclass(frozen=True)
@@ -266,7 +266,10 @@ def near_duplicates(documents: DataFrame, p: MinHashParams = MinHashParams()) ->
     star = materialise(buckets.join(first, "bucket").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "star")
 
     wanted = star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct()
-    sets = materialise(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").distinct().mapInArrow(lambda it: _sets(it, p), "id long, shingles binary").where("length(shingles) > 0"), "sets")
+    # only the texts of candidates need to move; Spark's Bloom filter drops the others before the exchange
+    wanted = materialise(wanted, "wanted").where(f"doc_id >= {-(1 << 63)}")
+    with bloom_join(docs.sparkSession):
+        sets = materialise(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, p), "id long, shingles binary").where("length(shingles) > 0"), "sets")
     pairs = star.join(sets.withColumnsRenamed({"id": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "y"}), "b")
     ratio = F.expr(f"100 * least(length(x), length(y)) >= {p.percent} * greatest(length(x), length(y))")
     links = materialise(pairs.where(ratio).select("a", "b", "x", "y").mapInArrow(lambda it: _confirmed(it, p), "a long, b long").distinct(), "links")

@@ -1,0 +1,59 @@
+import gzip
+import hashlib
+import io
+import struct
+import wave
+import zlib
+
+from siltlake.llm import media
+from siltlake.llm.common import read_table
+
+
+def png(data=b"\x00\xff"):
+    def chunk(kind, body):
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(data)) + chunk(b"IEND", b"")
+
+
+GIF = b"GIF89a\x01\x00\x01\x00\x80\x00\x00\x00\x00\x00\xff\xff\xff,\x00\x00\x00\x00\x01\x00\x01\x00\x00\x02\x02D\x01\x00;"
+
+
+def test_whole_table_round_trips(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    rows = media.media_of_texts(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        raw = texts[r.doc_id]
+        payload = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
+        stored = media.wav(payload)
+        with wave.open(io.BytesIO(stored)) as w:
+            assert (w.getnchannels(), w.getsampwidth(), w.readframes(w.getnframes())) == (1, 1, payload)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
+
+
+def test_sniffing_corrects_and_carves():
+    assert media.sniff(png(), "image/gif")["type"] == "image/png"
+    assert media.sniff(GIF, "image/gif") == {"type": "image/gif", "corrected": False, "embedded": [], "carved": []}
+    z = gzip.compress(b"hello" * 50)
+    blob = b"BM RIFF junk" + png() + b"--" + GIF + z + b"tail"
+    seen = media.sniff(blob, "text/plain")
+    assert seen["type"] == "text/plain" and seen["carved"] == [png(), GIF, z]
+    broken = bytearray(png())
+    broken[20] ^= 1
+    assert media.sniff(bytes(broken), "image/png")["type"] == "application/octet-stream"
+    inside = media.sniff(media.wav(png() + bytes(-len(png()) % 2)), None)
+    assert inside["type"] == "audio/wav" and inside["carved"] == [png()]
+    assert media.sniff(None, None)["type"] == "application/octet-stream" and media.segments(b"") == []
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xda\x00\x04cd\x12\xff\x00\x34\xff\xd9"
+    assert media.segments(b"x" + jpeg + b"y") == [("image/jpeg", 1, len(jpeg))]
+
+
+def test_edges(spark):
+    docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (None, "a" * 64, 0), (3, "é" * 100_001, 0)], "doc_id long, text string, feature int")
+    got = [(r.doc_id, r.n_bytes, r.payload_bytes) for r in media.media_of_texts(docs).collect()]
+    assert got == [(1, 0, 64), (2, 0, 64), (None, 64, 64), (3, 200002, 200064)]
+    blobs = spark.createDataFrame([(1, bytearray(GIF), None), (2, None, "image/gif")], "id long, embedded binary, kind string")
+    assert [(r.sniffed_type, r.corrected) for r in media.sniff_blobs(blobs, "embedded", "kind").collect()] == [("image/gif", True), ("application/octet-stream", True)]
