@@ -16,6 +16,7 @@ doc_ids are packed like any other row.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -35,21 +36,48 @@ END_ID = 2
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)[.,!?;:%$&*#|()-]*")
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 stands for
+    itself, the other bytes, in order, for the characters from U+0100 on."""
+    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    others = (b for b in range(256) if b not in set(own))
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
+class Memory:
+    """A dict of at most about `bound` entries: what was not asked for while the newer half filled is forgotten."""
+
+    def __init__(self, bound: int):
+        self.half, self.new, self.old = bound // 2, {}, {}
+
+    def turn(self) -> None:
+        if len(self.new) > self.half:
+            self.new, self.old = {}, self.new
+
+
 class WordTokenizer:
     """Ids of whole texts, through a memory of the ids of their words.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its chunks
-    between spaces and line feeds, one after the other. Words not yet known are encoded together in
-    one text; the model ends each pre-token with a token that carries its end-of-word mark, which
-    tells where the ids of the next one start. Other chunks are encoded one by one."""
+    between spaces and line feeds, one after the other. A chunk of Latin letters with punctuation
+    after it is one or two pre-tokens, remembered apart. Pre-tokens not yet known are lowered, spelled
+    in byte letters and encoded together by the same model without its normalizer; the model ends each
+    with a token that carries the end-of-word mark, which tells where the next one starts. Other
+    chunks are encoded one by one by the tokenizer itself."""
 
-    def __init__(self, path: str, bound: int = 350_000, longest: int = 48):
+    def __init__(self, path: str, chunks: int = 500_000, parts: int = 400_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.bound, self.longest = bound, longest
-        self.known: dict[str, bytes] = {"": b""}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.tokenizer = Tokenizer.from_str(json.dumps(spec))
+        spec |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+        self.model = Tokenizer.from_str(json.dumps(spec))
+        letters = byte_letters()
+        self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.longest = longest
+        self.chunks, self.parts = Memory(chunks), Memory(parts)
         self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.final[i] = token.endswith("</w>")
@@ -57,36 +85,56 @@ class WordTokenizer:
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _encode_parts(self, parts: list[str]) -> None:
+        text = " ".join(parts)
+        ids = np.array(self.model.encode_batch_fast([text if text.isascii() else text.translate(self.spelled)], add_special_tokens=False)[0].ids, "<u4")
+        ends = ((np.flatnonzero(self.final[ids]) + 1) * 4).tolist()
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer does not mark the end of each pre-token")
+        raw, start, new = ids.tobytes(), 0, self.parts.new
+        for part, end in zip(parts, ends):
+            new[part] = raw[start:end]
+            start = end
+
     def _learn(self, words: set[str]) -> None:
-        plain = []  # (word, how many pre-tokens it is)
+        known, old, parts = self.chunks.new, self.chunks.old, self.parts
+        parts.turn()
+        split, need = [], set()
         for w in words:
+            if w in old:
+                known[w] = old[w]
+                continue
             m = SIMPLE.fullmatch(w) if len(w) <= self.longest else None
-            if m:
-                plain.append((w, 2 if m.end(1) < len(w) else 1))
-            else:
-                self.known[w] = self._alone(w)
-        for at in range(0, len(plain), 4096):
-            part, counts = zip(*plain[at : at + 4096])
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.final[ids]) + 1
-            if len(ends) != sum(counts):
-                raise ValueError("the tokenizer does not mark the end of each pre-token")
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(part, (ends[np.cumsum(counts) - 1] * 4).tolist()):
-                self.known[w] = raw[start:end]
-                start = end
+            if not m:
+                known[w] = self._alone(w)
+                continue
+            at = m.end(1)
+            pair = (w[:at].lower(), w[at:])
+            split.append((w, pair))
+            for x in pair:
+                if x and x not in parts.new:
+                    if x in parts.old:
+                        parts.new[x] = parts.old[x]
+                    else:
+                        need.add(x)
+        need = list(need)
+        for at in range(0, len(need), 4096):
+            self._encode_parts(need[at : at + 4096])
+        get = parts.new
+        for w, (letters, tail) in split:
+            known[w] = get[letters] + get[tail] if tail else get[letters]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         out = []
-        if len(self.known) > self.bound:
-            self.known = {"": b""}
         for text in texts:
+            self.chunks.turn()
             words = text.replace("\n", " ").split(" ")
-            found = list(map(self.known.get, words))
+            known = self.chunks.new
+            found = list(map(known.get, words))
             if None in found:
                 self._learn({w for w, x in zip(words, found) if x is None})
-                found = list(map(self.known.__getitem__, words))
+                found = list(map(known.__getitem__, words))
             out.append(b"".join(found))
         return out
 
