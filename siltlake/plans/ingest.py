@@ -28,7 +28,7 @@ def rows(envelope: DataFrame, config: Config) -> tuple[DataFrame, list[str]]:
         out = out.withColumn("_json", F.col(f"`{source}`") if source else F.lit(None).cast("string"))
         scope = ["_path", "_file"]
         maps = shred.plan_maps(shred.key_stats(shred.flattened(out.select(*scope, "_json"), "_json", c.bucket_count), scope), scope, c.max_subcolumns, c.max_depth)
-        out = shred.expand(shred.flattened(out, "_json", c.bucket_count).join(maps, scope, "left").withColumn("_plan_keys", F.map_entries("_plan")), max_depth=c.max_depth)
+        out = shred.expand(shred.flattened(out, "_json", c.bucket_count).join(maps, scope, "left").withColumn("_plan_keys", F.map_keys("_plan")), max_depth=c.max_depth)
         out = out.drop("_leaves", "_plan", "_json")
     return out, declared
 

@@ -12,13 +12,13 @@ pyarrow's file systems.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import uuid
 from dataclasses import dataclass
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siltlake.config import ConfigError, JsonColumn, ParquetConfig
 from siltlake.operators.shred import bucket_column, keys_column
@@ -59,13 +59,12 @@ def file_name(batch: int, path: str, file: int) -> str:
 
 
 def dynamic_table(rows: pa.Table, column: JsonColumn | None, declared: list[str]) -> pa.Table:
-    """Declared columns, subcolumns, every bucket and the keys column, in order of name. The plan of
-    these rows is the union of their _sub keys."""
+    """Declared columns, the subcolumns of the rows' plan, every bucket and the keys column, in order of name."""
     out = {n: rows.column(n) for n in declared}
     if column:
         subs = [dict(x) if x is not None else {} for x in rows.column("_sub").to_pylist()]
         buckets = [dict(x) if x is not None else {} for x in rows.column("_buckets").to_pylist()]
-        names = sorted({k for s in subs for k in s} | set().union(*({k for k, _ in p} for p in rows.column("_plan_keys").to_pylist() if p)) if "_plan_keys" in rows.column_names else {k for s in subs for k in s})
+        names = sorted({k for keys in rows.column("_plan_keys").to_pylist() for k in keys or ()})
         for k in names:
             if f"{column.name}.{k}" in out:
                 raise ConfigError(f"subcolumn {column.name}.{k} has the name of a declared column")
@@ -93,21 +92,23 @@ def write_batch(df: DataFrame, base: str, batch: int, p: ParquetConfig, declared
     def write(key: tuple, rows: pa.Table) -> pa.Table:
         path, file = key[0].as_py(), key[1].as_py()
         rows = rows.sort_by("_row")
+        rows = rows.rename_columns([named.get(n, n) for n in rows.column_names])
         table = dynamic_table(rows, column, declared)
         system, root = _opened(staging)
         name = file_name(batch, path, file)
         system.create_dir(root, recursive=True)
         stats = [n for n in table.column_names if n in bounded or (column and n.startswith(f"{column.name}."))]
         # an attempt writes to a name of its own: a second one can't tear the first one's file
-        import uuid
-
         staged = f"{name}.{uuid.uuid4().hex}"
         with system.open_output_stream(f"{root}/{staged}") as out:
             pq.write_table(table, out, compression=kind, compression_level=level, row_group_size=p.max_rows_per_row_group, data_page_size=p.page_buffer_bytes, write_statistics=stats or False, use_dictionary=True)
         size = system.get_file_info(f"{root}/{staged}").size
         return pa.table({"path": [path], "file": pa.array([file], pa.int32()), "staged": [staged], "name": [name], "rows": pa.array([rows.num_rows], pa.int64()), "bytes": pa.array([size], pa.int64())})
 
-    written = df.groupBy("_path", "_file").applyInArrow(write, WRITTEN).collect()  # one row a file
+    # dotted names would be taken for paths; the tasks get their columns by number
+    named = {f"_d{i}": n for i, n in enumerate(declared)}
+    numbered = df.select("_path", "_file", "_row", *(F.col("`" + n.replace("`", "``") + "`").alias(d) for d, n in named.items()), *(c for c in ("_sub", "_buckets", "_keys", "_plan_keys") if c in df.columns))
+    written = numbered.groupBy("_path", "_file").applyInArrow(write, WRITTEN).collect()  # one row a file
     system, root = _opened(base)
     for r in written:
         target = "/".join(x for x in (root.rstrip("/"), r["path"].strip("/")) if x)
