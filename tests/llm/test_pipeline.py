@@ -1,0 +1,50 @@
+import os
+
+import pytest
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+
+from siltlake.llm import minhash, quality, secrets, toxicity  # noqa: E402
+from siltlake.llm.common import materialise, read_table  # noqa: E402
+from tests.llm.test_minhash import brute  # noqa: E402
+from tests.llm.test_packing import PATH, check_pieces  # noqa: E402
+
+SF = os.environ.get("TEST_LLM_SF_DIR", "/root/testdata/sf0.01")
+
+
+def test_each_stage_on_what_its_predecessor_kept(spark):
+    docs = read_table(spark, SF, "documents")
+    columns, labels = docs.columns, read_table(spark, SF, "labels")
+    now, kept = docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, now = now, materialise(stage(spark, now, SF), f"test-{name}")
+        kept[name] = (before, now)
+        if name != "packing":
+            assert now.columns == columns
+    ids = lambda df: {r.doc_id for r in df.select("doc_id").collect()}
+    before, after = kept["toxicity"]
+    scores = toxicity.score_documents(before, toxicity.train(before, labels))
+    assert ids(after) == ids(scores.where("predicted = 0"))
+    before, after = kept["quality"]
+    scores = quality.score_documents(before, quality.train(before, labels))
+    assert ids(after) == ids(scores.where("predicted = 1"))
+    before, after = kept["near_duplicates"]
+    rows = [(r.doc_id, r.text) for r in before.collect()]
+    assert ids(after) == {i for i, (_, _, k) in brute(rows, 5).items() if k} and after.count() < before.count()
+    before, after = kept["secrets"]
+    texts = {r.doc_id: r for r in after.collect()}
+    assert {r.doc_id: secrets.redact(r.text) for r in before.collect()} == {i: r.text for i, r in texts.items()}
+    assert all(not secrets.base_spans(r.text) and r.n_chars == len(r.text) for r in texts.values())
+    before, after = kept["packing"]
+    from siltlake.llm import packing
+
+    tok = packing.WordTokenizer(PATH).tokenizer
+    check_pieces(after.collect(), {r.doc_id: tok.encode(r.text, add_special_tokens=False).ids + [2] for r in before.collect()}, 4096)
+
+
+def test_repeated_rows_are_copies(spark):
+    rows = [(1, "a b c d e f g", "en", "s", 13)] * 2 + [(2, "a b c d e f g", "en", "s", 13), (None, "x y", None, None, 3), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_copies(spark, docs, SF)
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "3", "None"]
+    assert minhash.MinHashParams().words == 5 and minhash.MinHashParams().percent == 80

