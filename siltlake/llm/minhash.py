@@ -312,3 +312,30 @@ def _missed(grouped: DataFrame, sets: DataFrame, p: MinHashParams) -> DataFrame:
     )
     met = met.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi")
     return met.mapInArrow(lambda it: _blocks(it, p), "a long, b long")
+
+
+#: The same for sets of two words, exactly: a set of n shingles and one linked with it share one of the
+#: n - ceil(0.8 n) + 1 rarest shingles of each.
+SQL_TWO_WORDS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20]+'), lambda w: w <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 2 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) WHEN len(w) = 1 THEN w ELSE [] END AS s FROM words
+), reps AS (
+  SELECT min(doc_id) AS rep, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY 2, 3
+), rows AS (SELECT rep, n, unnest(s) AS x FROM reps
+), ranked AS (
+  SELECT rep, n, x, row_number() OVER (PARTITION BY rep ORDER BY df, x) AS pos FROM (SELECT *, count(*) OVER (PARTITION BY x) AS df FROM rows)
+), prefix AS (SELECT rep, n, x FROM ranked WHERE pos <= n - ceil(0.8 * n) + 1
+), cand AS (
+  SELECT DISTINCT a.rep AS a, b.rep AS b FROM prefix a JOIN prefix b ON a.x = b.x AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+), links AS (
+  SELECT a, b FROM cand JOIN reps p ON p.rep = a JOIN reps q ON q.rep = b
+  WHERE 100 * len(list_intersect(p.s, q.s)) >= 80 * (p.n + q.n - len(list_intersect(p.s, q.s)))
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT rep AS start, rep AS node FROM reps UNION SELECT r.start, e.b FROM reach r JOIN edges e ON r.node = e.a
+), comp AS (SELECT node AS rep, min(start) AS c FROM reach GROUP BY node)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(c.c, s.doc_id) AS component_id, s.doc_id = coalesce(c.c, s.doc_id) AS kept
+FROM sets s LEFT JOIN reps r ON list_sort(s.s) = r.s LEFT JOIN comp c ON c.rep = r.rep
+"""

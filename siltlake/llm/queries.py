@@ -63,4 +63,4 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-SQL: dict[str, str] = {"op2_exact_top_k": topk.SQL, "op4_chat_formatting": chat.SQL}
+SQL: dict[str, str] = {"op2_exact_top_k": topk.SQL, "op4_chat_formatting": chat.SQL, "op9_minhash_near_dedup": minhash.SQL_TWO_WORDS}
