@@ -32,6 +32,17 @@ def rollup(df: DataFrame, by: str = "_path") -> DataFrame:
     return df.groupBy(by).agg(*counters())
 
 
+def histogram(df: DataFrame, value: Column, bounds: list[float], by: list[str] | None = None) -> DataFrame:
+    """Cumulative counts: how many values are at most each bound, and at most infinity (bound null)."""
+    at_most = F.explode(F.array(*(F.struct(F.lit(float(b)).alias("bound"), (value <= b).cast("long").alias("hit")) for b in sorted(bounds)), F.struct(F.lit(None).cast("double").alias("bound"), F.lit(1).cast("long").alias("hit"))))
+    return df.where(value.isNotNull()).select(*(by or []), at_most.alias("h")).groupBy(*(by or []), "h.bound").agg(F.sum("h.hit").alias("observations"))
+
+
+def exposition(values: dict[str, float], prefix: str = "siltlake") -> str:
+    """Counters in the Prometheus text format."""
+    return "".join(f"# TYPE {prefix}_{n} counter\n{prefix}_{n} {v}\n" for n, v in sorted(values.items()))
+
+
 def flush_summary(written: list[dict]) -> dict[str, int]:
     return {"files": len(written), "rows": sum(w["rows"] for w in written), "bytes_out": sum(w["bytes"] for w in written)}
 

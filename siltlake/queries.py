@@ -267,10 +267,25 @@ def metrics_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup(df, "path")
 
 
+def metrics_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltlake.observe import histogram
+
+    return histogram(messages(spark, sf_dir), F.octet_length("value"), [64, 128, 160, 192, 256], ["partition"])
+
+
+def value_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offline: JSON texts sorted and split under a folder; how many rows each file got."""
+    base = _folder(spark, "convert")
+    p = ParquetConfig(schema={"event": "utf8", "team_id": "int64"}, sort_columns=[("team_id", False)], rows_per_file=700)
+    done = ingest.convert(spark, messages(spark, sf_dir).select("value"), Config(parquet=p), base)
+    rows = table(spark, base).agg(F.count("*").alias("rows"), F.sum("team_id").alias("teams"))
+    return rows.withColumns({"files": F.lit(len(done)).cast("long"), "largest": F.lit(max(w["rows"] for w in done)).cast("long")})
+
+
 QUERIES = {f.__name__: f for f in (
     parse_typed, coerce_defaults, parse_invalid_filter, timestamp_parse, enrich_metadata, enrich_clash, route_team_date, route_counts, route_generic, route_extract,
     json_flatten, json_key_stats, json_plan, json_plan_per_file, json_type_conflict, json_subcolumns, json_buckets, json_keys, json_depth_overflow,
-    sort_multi, split_files, write_roundtrip, write_merge_schema, stream_ingest, flush_batches, flush_bytes, metrics_rollup)}
+    sort_multi, split_files, write_roundtrip, write_merge_schema, stream_ingest, flush_batches, flush_bytes, metrics_rollup, metrics_histogram, value_convert)}
 
 M = f"WITH m AS ({MESSAGES})"
 _LEAVES = """x AS (
@@ -340,4 +355,7 @@ SQL = {
       SELECT path, CAST(flush AS BIGINT) AS flush, count(*) AS events, CAST(sum(strlen(value) + 4) AS BIGINT) AS bytes FROM r GROUP BY 1, 2""",
     "metrics_rollup": f"""{M} SELECT concat('p=', "partition") AS path, count(*) AS received, CAST(sum(strlen(value)) AS BIGINT) AS bytes_in,
       CAST(sum(CASE WHEN json_valid(value) THEN 1 ELSE 0 END) AS BIGINT) AS processed, CAST(sum(CASE WHEN json_valid(value) THEN 0 ELSE 1 END) AS BIGINT) AS parse_errors FROM m GROUP BY 1""",
+    "metrics_histogram": f"""{M} SELECT "partition", bound, count(*) FILTER (bound IS NULL OR strlen(value) <= bound) AS observations
+      FROM m CROSS JOIN (VALUES (64.0::DOUBLE), (128), (160), (192), (256), (NULL)) AS b(bound) GROUP BY 1, 2""",
+    "value_convert": f"SELECT count(*) AS rows, CAST(sum(user_id) AS BIGINT) AS teams, CAST(ceil(count(*) / 700.0) AS BIGINT) AS files, least(count(*), 700) AS largest FROM events WHERE {GOOD}",
 }

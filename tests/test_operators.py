@@ -163,4 +163,7 @@ def test_metrics(spark):
     df, o = observe.observed(coerce.parse(spark.createDataFrame([('{"a":1}',), ("bad",), (None,)], "value string"), ["a"]))
     df.collect()
     assert o.get == {"received": 3, "bytes_in": 10, "processed": 1, "parse_errors": 2}
+    h = observe.histogram(spark.range(10), F.col("id"), [4, 8])
+    assert {r.bound: r.observations for r in h.collect()} == {4.0: 5, 8.0: 9, None: 10}
+    assert observe.exposition({"rows": 3}) == "# TYPE siltlake_rows counter\nsiltlake_rows 3\n"
     assert observe.log_level("warn") == 30 and observe.log_level("odd") == 20
