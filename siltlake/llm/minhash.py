@@ -261,24 +261,29 @@ def near_duplicates(documents: DataFrame, p: MinHashParams = MinHashParams()) ->
     keyed = signed.select("doc_id", "n", F.when(F.expr("n > 0 and doc_id is not null"), F.col("k1")).alias("k1"), "k2", "bands")
     member = materialise(
         keyed.join(classes, ["k1", "k2"], "left").select("doc_id", "n", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")), "member")
+    discard(signed)
     buckets = member.where("bands is not null").select("rep", F.explode("bands").alias("bucket"))
     first = buckets.groupBy("bucket").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head < tail").select("bucket", "head")
     star = materialise(buckets.join(first, "bucket").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "star")
 
     wanted = star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct()
     # only the texts of candidates need to move; Spark's Bloom filter drops the others before the exchange
-    wanted = materialise(wanted, "wanted").where(f"doc_id >= {-(1 << 63)}")
+    wanted = materialise(wanted, "wanted")
     with bloom_join(docs.sparkSession):
-        sets = materialise(docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, p), "id long, shingles binary").where("length(shingles) > 0"), "sets")
+        sets = materialise(docs.join(wanted.where(f"doc_id >= {-(1 << 63)}"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, p), "id long, shingles binary").where("length(shingles) > 0"), "sets")
+    discard(wanted)
     pairs = star.join(sets.withColumnsRenamed({"id": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "y"}), "b")
     ratio = F.expr(f"100 * least(length(x), length(y)) >= {p.percent} * greatest(length(x), length(y))")
     links = materialise(pairs.where(ratio).select("a", "b", "x", "y").mapInArrow(lambda it: _confirmed(it, p), "a long, b long").distinct(), "links")
 
     labelled = materialise(components(star.select(F.lit(0).alias("kind"), "a", "b").union(links.select(F.lit(1).alias("kind"), "a", "b"))), "labelled")
+    discard(star)
+    discard(links)
     linked = labelled.where("kind = 1").select("id", F.col("label").alias("comp"))
     grouped = labelled.where("kind = 0").select("id", F.col("label").alias("grp")).join(linked, "id", "left").select("id", "grp", F.coalesce("comp", "id").alias("comp"))
-    more = _missed(grouped, sets, p)
-    merged = components(materialise(more, "missed").join(linked.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a", "left").join(linked.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left").select(F.lit(0).alias("kind"), F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    more = materialise(_missed(grouped, sets, p), "missed")
+    discard(sets)
+    merged = components(more.join(linked.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a", "left").join(linked.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left").select(F.lit(0).alias("kind"), F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     merged = merged.select(F.col("id").alias("comp"), F.col("label").alias("final"))
     final = grouped.join(merged, "comp", "left").select(F.col("id").alias("rep"), F.coalesce("final", "comp").alias("component"))
     return (
