@@ -5,8 +5,7 @@ rows_per_file of them, to a staging folder of the batch beside the target; then
 the files of finished tasks to <base>/<path>/<name>. Names are derived from (batch, path, file), so a
 batch that runs again replaces its own files and adds none.
 
-Files and staging go through the Hadoop file system of `base`, the moves too; executors write through
-pyarrow's file systems.
+Executors and driver reach `base` through pyarrow's file system of its scheme.
 """
 
 from __future__ import annotations
@@ -78,6 +77,8 @@ def dynamic_table(rows: pa.Table, column: JsonColumn | None, declared: list[str]
 def _opened(base: str):
     from pyarrow import fs
 
+    if base.startswith("s3a://"):  # Hadoop's name for the scheme
+        base = "s3" + base.removeprefix("s3a")
     return fs.FileSystem.from_uri(base) if "://" in base or base.startswith("file:") else (fs.LocalFileSystem(), base)
 
 
