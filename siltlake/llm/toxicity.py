@@ -11,8 +11,8 @@ greatest clause score and the sum of clause scores gives the document's score.
 
 The insult lexicon is a short fixed list and what the training labels show: words and word stems
 that mark toxic training documents (log odds of at least `least_odds`, in at least `least_share` of
-the toxic ones). Near copies would make any word look like a mark, so of training documents with the
-same least word hash only one counts.
+the toxic ones). Copies would make any word look like a mark, so of training documents of one label
+with the same set of words only one counts; every other one counts.
 
 Training takes at most `bound` labelled rows outside the held-out fifth, those with the least hash
 of doc_id; counts are summed on the executors and at most `lexicon` entries come to the driver.
@@ -155,7 +155,7 @@ def _entries(words: set[str]) -> set[str]:
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
         words = [sorted(set(WORD.findall((t or "").lower()))) for t in b.column(2).to_pylist()]
-        copies = [min((xxhash.xxh3_64_intdigest(w) >> 1 for w in ws), default=0) for ws in words]
+        copies = [xxhash.xxh3_64_intdigest(" ".join(ws)) >> 1 for ws in words]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(copies, pa.int64()), pa.array(words, pa.list_(pa.string()))], ["doc_id", "y", "copies", "words"])
 
 
