@@ -7,7 +7,9 @@ code and identifiers compresses the surrounding text without and with the candid
 difference over the candidate's length says how much the surroundings and the dictionary foretell
 of it. Words, paths and identifiers cost little; keys cost nearly their entropy. A candidate that
 costs at least `threshold` of its length, mixes digits with letters and lies outside every base span
-is reported.
+is reported, and with it every other place of the same string. Its other places close after such a
+word or in a base span are left out of the surroundings, so that a repeated key doesn't foretell
+itself; a place without such a word still does.
 
 Defined results: null text is an empty text, which has no spans. All rows are kept as they come,
 repeats and null ids too. Texts are scanned whole; nothing is shuffled.
@@ -15,6 +17,7 @@ repeats and null ids too. Texts are scanned whole; nothing is shuffled.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import re
@@ -64,10 +67,20 @@ def _compressor(level: int) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=level, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def novelty(text: str, start: int, end: int, p: SecretParams) -> float:
-    """Marginal compressed bytes of text[start:end] against its surroundings and the dictionary, as a share of its bytes."""
-    c = _compressor(p.level)
-    around = text[max(0, start - p.before) : start].encode() + b"\n" + text[end : end + p.after].encode()
+def _without(text: str, low: int, high: int, places: list[int], n: int) -> str:
+    """text[low:high], a line feed in the place of each string of n characters that starts at one of places."""
+    out = []
+    for at in places[bisect.bisect_right(places, low - n) : bisect.bisect_left(places, high)]:
+        out.append(text[low : max(low, at)])
+        low = min(high, at + n)
+    return "\n".join([*out, text[low:high]])
+
+
+def novelty(text: str, start: int, end: int, p: SecretParams, others: list[int] = []) -> float:
+    """Marginal compressed bytes of text[start:end] against its surroundings and the dictionary, as a share of its
+    bytes. What starts at `others`, more places of the same string in order, is no part of the surroundings."""
+    c, n = _compressor(p.level), end - start
+    around = _without(text, max(0, start - p.before), start, others, n).encode() + b"\n" + _without(text, end, min(len(text), end + p.after), others, n).encode()
     candidate = text[start:end].encode()
     return (len(c.compress(around + b"\n" + candidate)) - len(c.compress(around))) / len(candidate)
 
@@ -83,9 +96,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _places(text: str, run: str) -> list[int]:
+    """Where the string stands, from the left without overlap."""
+    out, at = [], text.find(run)
+    while at >= 0:
+        out.append(at)
+        at = text.find(run, at + len(run))
+    return out
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], p: SecretParams = SecretParams()) -> list[tuple[int, int, int]]:
     out, done = [], -1
-    for word in SENSITIVE.finditer(text):
+    words = list(SENSITIVE.finditer(text))
+    begins = [w.start() for w in words]
+    in_base = lambda start, end: any(s < end and start < e for s, _, e in base)
+    found, repeats = set(), {}
+
+    def others(run: str) -> list[int]:
+        """Places of a repeated string that don't overlap and are in a base span or close after a sensitive word."""
+        if run not in repeats:
+            places = _places(text, run)
+            near = lambda at: (k := bisect.bisect_right(begins, at)) and at <= words[k - 1].end() + p.reach
+            repeats[run] = [at for at in places if near(at) or in_base(at, at + len(run))] if len(places) > 1 else []
+        return repeats[run]
+
+    for word in words:
         for m in CANDIDATE.finditer(text, max(word.start(), done), min(len(text), word.end() + p.reach)):
             start, end = m.start(), m.end()
             if end == word.end() + p.reach:  # the run goes on past the window
@@ -96,12 +131,20 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], p: SecretParams = S
             end = start + len(run)
             if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)) or len(run) < 12:
                 continue
-            if any(s < end and start < e for s, _, e in base):
+            if in_base(start, end):
                 continue
-            if novelty(text, start, end, p) >= p.threshold:
+            if run in found or novelty(text, start, end, p, others(run)) >= p.threshold:
                 out.append((start, 3, end))
+                found.add(run)
                 done = end
-    return out
+    taken = sorted(out)
+    for run in found:
+        for start in _places(text, run):
+            end = start + len(run)
+            k = bisect.bisect_left(taken, (end,))
+            if not (k and taken[k - 1][2] > start) and not in_base(start, end):
+                taken.insert(k, (start, 3, end))
+    return taken
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
