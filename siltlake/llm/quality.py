@@ -11,9 +11,12 @@ fitting the unlabelled positives as negatives. The class prior is the share of l
 among the labelled training rows, smoothed by one row of each. Labelled negatives count for the
 prior only. The score is the logistic function of g.
 
-Training takes a bounded sample: at most `bound` labelled and `bound` unlabelled rows outside the
-held-out fifth, those with the least hash of doc_id. Only their statistics, `bound` rows of a few
-numbers each, come to the driver. Scoring runs over every row and whole texts, without a shuffle.
+Training takes at most `bound` labelled rows outside the held-out fifth, those with the least hash of
+doc_id, and every unlabelled row there. Bin edges are quantiles of counted cells (values cut to
+`CELL_BITS` bits of mantissa). The descent is one barrier stage: each task holds its rows' bins, a byte
+for each statistic, and every step sums the tasks' gradients as integers, so the model is the same
+however the rows are dealt. Cell counts and the model come to the driver, and no rows. Scoring runs
+over every row and whole texts, without a shuffle.
 
 Defined results: null text is an empty text; empty texts get a score from their statistics like any
 other. Without trusted positives or without unlabelled rows every score is the prior (0.5 without
@@ -22,18 +25,26 @@ labels). Null doc_ids are scored, and count as not held out. Repeated rows are s
 
 from __future__ import annotations
 
+import contextlib
+import secrets
+import socket
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import BarrierTaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import held_out, slices, training_ids
+from siltlake.llm.common import discard, held_out, materialise, slices, training_ids
 
 THRESHOLD = 0.3
+CELL_BITS = 10
+UNIT = 2.0**32  # summands are multiples of its inverse
+CHUNK = 1 << 16
+WAIT_S = 600  # for another task of the descent
 
 
 @dataclass(frozen=True)
@@ -72,7 +83,26 @@ def statistics(text: str | None) -> list[float]:
 
 def _stats_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([statistics(t) for t in b.column(2).to_pylist()], pa.list_(pa.float64()))], ["doc_id", "y", "x"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([statistics(t) for t in b.column(1).to_pylist()], pa.list_(pa.float64()))], ["doc_id", "x"])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_STATS)
+
+
+def _cells(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Cells and their counts, for each statistic."""
+    cut = (np.ascontiguousarray(x, float).view(np.int64) & -(1 << 52 - CELL_BITS)).view(float)
+    for j in range(N_STATS):
+        yield np.unique(cut[:, j], return_counts=True)
+
+
+def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if b.num_rows:
+            found = list(_cells(_matrix(b.column(0))))
+            stats = np.repeat(np.arange(N_STATS, dtype=np.int32), [len(c) for c, _ in found])
+            yield pa.RecordBatch.from_arrays([pa.array(stats), pa.array(np.concatenate([c for c, _ in found])), pa.array(np.concatenate([n for _, n in found]), pa.int64())], ["stat", "cell", "n"])
 
 
 @dataclass
@@ -85,6 +115,13 @@ class QualityModel:
     def binned(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(self.edges)], axis=1)
 
+    @property
+    def width(self) -> int:
+        return self.edges.shape[1] + 1
+
+    def learned(self, theta: np.ndarray) -> None:
+        self.weights, self.bias = theta[:-1].reshape(N_STATS, self.width), float(theta[-1])
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         if self.weights is None:
             return np.full(len(x), self.prior)
@@ -92,34 +129,139 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(g, -30, 30)))
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, p: QualityParams = QualityParams()) -> QualityModel:
-    model = QualityModel(prior)
-    if not len(positive) or not len(unlabelled):
-        return model
-    both = np.concatenate([positive, unlabelled])
-    model.edges = np.quantile(both, np.linspace(0, 1, p.bins + 1)[1:-1], axis=0).T
+def _edges(cells: list[tuple[np.ndarray, np.ndarray]], p: QualityParams) -> np.ndarray:
+    """Quantiles of each statistic's cells, which are in order."""
     # rare kinds of text lie in the tails
-    tails = np.quantile(both, [0.01, 0.03, 0.97, 0.99], axis=0).T
-    model.edges = np.sort(np.concatenate([model.edges, tails], axis=1), axis=1)
-    width = model.edges.shape[1] + 1
-    at = np.arange(N_STATS) * width
-    bp, bu = model.binned(positive) + at, model.binned(unlabelled) + at
+    at = np.sort(np.concatenate([np.linspace(0, 1, p.bins + 1)[1:-1], [0.01, 0.03, 0.97, 0.99]]))
+    below = [np.cumsum(n) for _, n in cells]
+    return np.stack([c[np.searchsorted(b, at * (b[-1] - 1), side="right")] for (c, _), b in zip(cells, below)])
+
+
+def _sums(rows: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Of rows of bins: their number, and in units the sum of sigma(g) and the sums of its slope by parameter."""
+    at = np.arange(N_STATS) * (len(theta) // N_STATS)
+    out = np.zeros(len(theta) + 2, np.int64)
+    for low in range(0, len(rows), CHUNK):
+        x = rows[low : low + CHUNK] + at
+        s = 1 / (1 + np.exp(-np.clip(theta[x].sum(axis=1) + theta[-1], -30, 30)))
+        d = np.rint(s * (1 - s) * UNIT)  # sums of a chunk are exact in doubles
+        by_bin = np.bincount(x.ravel(), np.repeat(d, N_STATS), len(theta) - 1)
+        out += np.concatenate([[len(x), np.rint(s * UNIT).sum()], by_bin, [d.sum()]]).astype(np.int64)
+    return out
+
+
+def _descend(positive: np.ndarray, unlabelled: np.ndarray, width: int, prior: float, p: QualityParams, total: Callable = lambda sums: sums) -> np.ndarray:
+    """The parameters, from rows of bins. total: adds up what the tasks that hold rows have."""
     theta = np.zeros(N_STATS * width + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    sigma = lambda g: 1 / (1 + np.exp(-np.clip(g, -30, 30)))
-
-    def push(rows: np.ndarray, d: np.ndarray) -> np.ndarray:
-        return np.append(np.bincount(rows.ravel(), np.repeat(d, N_STATS), len(theta) - 1), d.sum())
-
     for step in range(1, p.steps + 1):
-        sp, su = sigma(theta[bp].sum(axis=1) + theta[-1]), sigma(theta[bu].sum(axis=1) + theta[-1])
-        negative = su.mean() - prior * sp.mean()
-        of_negative = push(bu, su * (1 - su) / len(su)) - prior * push(bp, sp * (1 - sp) / len(sp))
-        grad = prior * push(bp, -sp * (1 - sp) / len(sp)) + of_negative if negative >= 0 else -of_negative
+        of_p, of_u = total(np.stack([_sums(positive, theta), _sums(unlabelled, theta)]))
+        of_p, of_u = of_p[1:] / (UNIT * of_p[0]), of_u[1:] / (UNIT * of_u[0])
+        negative = of_u[0] - prior * of_p[0]
+        of_negative = of_u[1:] - prior * of_p[1:]
+        grad = of_negative - prior * of_p[1:] if negative >= 0 else -of_negative
         grad[:-1] += p.ridge * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         theta -= p.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    model.weights, model.bias = theta[:-1].reshape(N_STATS, width), float(theta[-1])
+    return theta
+
+
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, p: QualityParams = QualityParams()) -> QualityModel:
+    model = QualityModel(prior)
+    if not len(positive) or not len(unlabelled):
+        return model
+    model.edges = _edges(list(_cells(np.concatenate([positive, unlabelled]))), p)
+    model.learned(_descend(model.binned(positive), model.binned(unlabelled), model.width, prior, p))
+    return model
+
+
+def _slots(spark: SparkSession) -> int:
+    """Tasks that can run at once, as a barrier stage counts them."""
+    sc = spark.sparkContext._jsc.sc()
+    return max(1, sc.maxNumConcurrentTasks(sc.resourceProfileManager().defaultResourceProfile()))
+
+
+def _received(peer: socket.socket, n: int) -> bytes:
+    out = bytearray()
+    while len(out) < n:
+        part = peer.recv(n - len(out))
+        if not part:
+            raise ConnectionError("a task of the stage ended early")
+        out += part
+    return bytes(out)
+
+
+@contextlib.contextmanager
+def _summing(task: BarrierTaskContext) -> Iterator[Callable]:
+    """A function that adds up an array of integers over the stage's tasks: the first task receives, adds
+    and sends back. (Spark's own allGather takes about a second a call; here it tells the address.)"""
+    infos, first = task.getTaskInfos(), task.partitionId() == 0
+    with contextlib.ExitStack() as open_:
+        host = infos[0].address.rsplit(":", 1)[0]
+        told = ""
+        if first:
+            server = open_.enter_context(socket.create_server(("", 0), backlog=len(infos)))
+            server.settimeout(WAIT_S)
+            told = f"{server.getsockname()[1]} {secrets.token_hex(16)}"
+        port, token = next(x for x in task.allGather(told) if x).split()
+        peers = []
+        while first and len(peers) < len(infos) - 1:
+            peer = open_.enter_context(server.accept()[0])
+            peer.settimeout(WAIT_S)
+            with contextlib.suppress(OSError):
+                if secrets.compare_digest(_received(peer, 32), token.encode()):
+                    peers.append(peer)
+        if not first:
+            peers = [open_.enter_context(socket.create_connection((host, int(port)), WAIT_S))]
+            peers[0].sendall(token.encode())
+        for peer in peers:
+            peer.setsockopt(socket.IPPROTO_TCP, socket.TCP_NODELAY, 1)
+
+        def total(sums: np.ndarray) -> np.ndarray:
+            if not first:
+                peers[0].sendall(sums.tobytes())
+                return np.frombuffer(_received(peers[0], sums.nbytes), np.int64).reshape(sums.shape)
+            for peer in peers:
+                sums = sums + np.frombuffer(_received(peer, sums.nbytes), np.int64).reshape(sums.shape)
+            for peer in peers:
+                peer.sendall(sums.tobytes())
+            return sums
+
+        yield total
+
+
+def _fit_rows(rows: DataFrame, n: int, prior: float, p: QualityParams) -> QualityModel:
+    """fit_nnpu over a table of n rows: y (1 or -1) and x."""
+    model = QualityModel(prior)
+    counts = rows.select("x").mapInArrow(_cell_rows, "stat int, cell double, n long").groupBy("stat", "cell").agg(F.sum("n").alias("n")).toArrow()
+    stat, cell, number = (counts.column(c).to_numpy() for c in ("stat", "cell", "n"))
+    order = np.lexsort((cell, stat))
+    ends = np.searchsorted(stat[order], np.arange(1, N_STATS))
+    model.edges = _edges(list(zip(np.split(cell[order], ends), np.split(number[order], ends))), p)
+    kind, width = np.dtype(np.uint8 if model.width <= 256 else np.uint16), model.width
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = model.binned(_matrix(b.column(1))).astype(kind)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "bins"])
+
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {1: [], -1: []}
+        for b in batches:
+            x = np.frombuffer(b"".join(b.column(1).to_pylist()), kind).reshape(-1, N_STATS)
+            y = b.column(0).to_numpy()
+            for k in held:
+                held[k].append(x[y == k])
+        positive, unlabelled = (np.concatenate([np.zeros((0, N_STATS), kind), *held.pop(k)]) for k in (1, -1))
+        task = BarrierTaskContext.get()
+        with _summing(task) as total:
+            theta = _descend(positive, unlabelled, width, prior, p, total)
+        if task.partitionId() == 0:
+            yield pa.RecordBatch.from_arrays([pa.array([theta.tolist()], pa.list_(pa.float64()))], ["theta"])
+
+    tasks = min(_slots(rows.sparkSession), max(1, n // 4096))
+    found = rows.select("y", "x").mapInArrow(bins, "y int, bins binary").repartition(tasks).mapInArrow(descend, "theta array<double>", barrier=True).collect()
+    model.learned(np.array(found[0].theta))
     return model
 
 
@@ -128,17 +270,19 @@ def _docs(documents: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame, p: QualityParams = QualityParams()) -> QualityModel:
-    docs = _docs(documents)
+    docs = _docs(documents).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = labels.where("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     chosen = training_ids(labels, "quality", p.bound)
-    free = docs.select("doc_id").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).join(known, "doc_id", "left_anti").distinct()
-    free = free.orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.bound).withColumn("y", F.lit(-1))
-    sample = docs.join(F.broadcast(chosen.union(free)), "doc_id").select("doc_id", "y", "text")  # 2 * bound ids at most
-    rows = sorted((r.doc_id, r.y, r.x) for r in sample.mapInArrow(_stats_of, "doc_id long, y int, x array<double>").collect())
-    x, y = np.array([r[2] for r in rows]).reshape(-1, N_STATS), np.array([r[1] for r in rows], int)
-    labelled = int((y >= 0).sum())
-    prior = ((y == 1).sum() + 1) / (labelled + 2)
-    return fit_nnpu(x[y == 1], x[y == -1], float(prior), p)
+    # null where the row is labelled but not chosen
+    marks = known.join(chosen, "doc_id", "left").select("doc_id", "y", F.lit(True).alias("known"))
+    joined = docs.mapInArrow(_stats_of, "doc_id long, x array<double>").join(marks, "doc_id", "left")
+    rows = materialise(joined.select(F.when(F.col("known"), F.col("y")).otherwise(-1).alias("y"), "x").where("y is not null"), "quality-statistics")
+    n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    positive, negative, free = (n.get(y, 0) for y in (1, 0, -1))
+    prior = (positive + 1) / (positive + negative + 2)
+    model = _fit_rows(rows.where("y <> 0"), positive + free, prior, p) if positive and free else QualityModel(prior)
+    discard(rows)
+    return model
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: QualityModel, at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
