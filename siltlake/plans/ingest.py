@@ -14,7 +14,7 @@ from siltlake.sinks import files
 
 
 def rows(envelope: DataFrame, config: Config) -> tuple[DataFrame, list[str]]:
-    """Rows with _path, _file, _row, the declared columns and, with a JSON column, its parts."""
+    """Rows with _path, _file, _row, the declared columns and, for each JSON column, its numbered parts."""
     template, p = Template(config.key_prefix), config.parquet
     wanted = [*p.schema, *template.reads(), *(c.split(".")[0] for c, _ in p.sort_columns)]
     df = coerce.parse(envelope, list(dict.fromkeys(wanted))).where("_valid").withColumn("_path", pipeline_path(template))
@@ -22,14 +22,14 @@ def rows(envelope: DataFrame, config: Config) -> tuple[DataFrame, list[str]]:
     df = layout.with_file_index(df, p.rows_per_file, keys=layout.sort_keys(p.sort_columns))
     declared = sorted(p.schema)
     out = df.select("_path", "_file", "_row", *coerce.project(df, p.schema, taken=taken, stored=True))
-    for c in p.json_columns[:1]:
+    scope, stored = ["_path", "_file"], out
+    for i, c in enumerate(p.json_columns):
         # only a declared column reaches the expansion
-        source = c.name if c.name in p.schema else None
-        out = out.withColumn("_json", F.col(f"`{source}`") if source else F.lit(None).cast("string"))
-        scope = ["_path", "_file"]
-        maps = shred.plan_maps(shred.key_stats(shred.flattened(out.select(*scope, "_json"), "_json", c.bucket_count), scope), scope, c.max_subcolumns, c.max_depth)
-        out = shred.expand(shred.flattened(out, "_json", c.bucket_count).join(maps, scope, "left").withColumn("_plan_keys", F.map_keys("_plan")), max_depth=c.max_depth)
-        out = out.drop("_leaves", "_plan", "_json")
+        text = F.col(f"`{c.name}`") if c.name in p.schema else F.lit(None).cast("string")
+        maps = shred.plan_maps(shred.key_stats(shred.flattened(stored.select(*scope, text.alias("_json")), "_json", c.bucket_count), scope), scope, c.max_subcolumns, c.max_depth)
+        out = shred.flattened(out.withColumn("_json", text), "_json", c.bucket_count).join(maps, scope, "left")
+        out = shred.expand(out.withColumn("_plan_keys", F.map_keys("_plan")), max_depth=c.max_depth).drop("_leaves", "_plan", "_json")
+        out = out.withColumnsRenamed({n: f"{n}{i}" for n in files.PARTS})
     return out, declared
 
 

@@ -23,6 +23,8 @@ from siltlake.config import ConfigError, JsonColumn, ParquetConfig
 from siltlake.operators.shred import bucket_column, keys_column
 
 WRITTEN = "path string, file int, staged string, name string, rows long, bytes long"
+#: What a JSON column is shredded to; the parts' names end with its number.
+PARTS = ("_sub", "_buckets", "_keys", "_plan_keys")
 
 
 def codec(name: str, level: int) -> tuple[str, int | None]:
@@ -57,20 +59,21 @@ def file_name(batch: int, path: str, file: int) -> str:
     return f"{batch:010d}-{file:08d}-{hashlib.sha256(path.encode()).hexdigest()[:12]}.parquet"
 
 
-def dynamic_table(rows: pa.Table, column: JsonColumn | None, declared: list[str]) -> pa.Table:
-    """Declared columns, the subcolumns of the rows' plan, every bucket and the keys column, in order of name."""
+def dynamic_table(rows: pa.Table, columns: list[JsonColumn], declared: list[str]) -> pa.Table:
+    """Declared columns and, of each JSON column, the subcolumns of the rows' plan, every bucket and the keys
+    column, in order of name."""
     out = {n: rows.column(n) for n in declared}
-    if column:
-        subs = [dict(x) if x is not None else {} for x in rows.column("_sub").to_pylist()]
-        buckets = [dict(x) if x is not None else {} for x in rows.column("_buckets").to_pylist()]
-        names = sorted({k for keys in rows.column("_plan_keys").to_pylist() for k in keys or ()})
+    for i, column in enumerate(columns):
+        subs = [dict(x) if x is not None else {} for x in rows.column(f"_sub{i}").to_pylist()]
+        buckets = [dict(x) if x is not None else {} for x in rows.column(f"_buckets{i}").to_pylist()]
+        names = sorted({k for keys in rows.column(f"_plan_keys{i}").to_pylist() for k in keys or ()})
         for k in names:
             if f"{column.name}.{k}" in out:
-                raise ConfigError(f"subcolumn {column.name}.{k} has the name of a declared column")
+                raise ConfigError(f"subcolumn {column.name}.{k} has the name of another column")
             out[f"{column.name}.{k}"] = pa.array([s.get(k) for s in subs], pa.string())
         for b in range(column.bucket_count):
             out[bucket_column(column.name, b)] = pa.array([s.get(b) for s in buckets], pa.string())
-        out[keys_column(column.name)] = rows.column("_keys")
+        out[keys_column(column.name)] = rows.column(f"_keys{i}")
     return pa.table({n: out[n] for n in sorted(out, key=str.encode)})
 
 
@@ -83,9 +86,9 @@ def _opened(base: str):
 
 
 def write_batch(df: DataFrame, base: str, batch: int, p: ParquetConfig, declared: list[str]) -> list[dict]:
-    """Write the rows (declared columns, _path, _file, _row and, with a JSON column, its parts) and move
+    """Write the rows (declared columns, _path, _file, _row and, for each JSON column, its numbered parts) and move
     the files in place. Returns a row per file: path, name, rows, bytes."""
-    column = p.json_columns[0] if p.json_columns else None
+    columns = p.json_columns
     kind, level = codec(p.compression, p.compression_level)
     staging = f"{base.rstrip('/')}/_staging/{batch:010d}"
     bounded = [n for n in declared if n not in p.no_bounds]
@@ -94,11 +97,11 @@ def write_batch(df: DataFrame, base: str, batch: int, p: ParquetConfig, declared
         path, file = key[0].as_py(), key[1].as_py()
         rows = rows.sort_by("_row")
         rows = rows.rename_columns([named.get(n, n) for n in rows.column_names])
-        table = dynamic_table(rows, column, declared)
+        table = dynamic_table(rows, columns, declared)
         system, root = _opened(staging)
         name = file_name(batch, path, file)
         system.create_dir(root, recursive=True)
-        stats = [n for n in table.column_names if n in bounded or (column and n.startswith(f"{column.name}."))]
+        stats = [n for n in table.column_names if n in bounded or any(n.startswith(f"{c.name}.") for c in columns)]
         # an attempt writes to a name of its own: a second one can't tear the first one's file
         staged = f"{name}.{uuid.uuid4().hex}"
         with system.open_output_stream(f"{root}/{staged}") as out:
@@ -108,7 +111,7 @@ def write_batch(df: DataFrame, base: str, batch: int, p: ParquetConfig, declared
 
     # dotted names would be taken for paths; the tasks get their columns by number
     named = {f"_d{i}": n for i, n in enumerate(declared)}
-    numbered = df.select("_path", "_file", "_row", *(F.col("`" + n.replace("`", "``") + "`").alias(d) for d, n in named.items()), *(c for c in ("_sub", "_buckets", "_keys", "_plan_keys") if c in df.columns))
+    numbered = df.select("_path", "_file", "_row", *(F.col("`" + n.replace("`", "``") + "`").alias(d) for d, n in named.items()), *(f"{n}{i}" for i in range(len(columns)) for n in PARTS))
     written = numbered.groupBy("_path", "_file").applyInArrow(write, WRITTEN).collect()  # one row a file
     system, root = _opened(base)
     for r in written:

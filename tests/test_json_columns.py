@@ -1,0 +1,13 @@
+from siltlake.config import JsonColumn
+from siltlake.plans import ingest
+from siltlake.read import json_field, table
+from tests.test_operators import conf, envelope
+
+
+def test_every_json_column_is_shredded(spark, tmp_path):
+    p = dict(schema={"event": "utf8", "p": "json", "q": "json"}, json_columns=[JsonColumn("p", 1, 2), JsonColumn("q", 1, 3)])
+    ingest.write(envelope(spark, ['{"event":"a","p":{"x":1,"y":2},"q":{"x":"s","z":true}}', '{"event":"a","p":{"x":3},"q":{"x":"t"}}']), conf(tmp_path, **p))
+    df = table(spark, str(tmp_path))
+    assert sorted(df.columns) == ["event", "p", "p.x", "p__json_keys", "p__json_type_bucket_0", "p__json_type_bucket_1", "q", "q.x", "q__json_keys", "q__json_type_bucket_0", "q__json_type_bucket_1", "q__json_type_bucket_2"]
+    rows = df.select(*(json_field(df, c, k, n).alias(c + k) for c, k, n in (("p", "x", 2), ("p", "y", 2), ("q", "x", 3), ("q", "z", 3))), "p__json_keys", "q__json_keys").orderBy("px").collect()
+    assert [tuple(r) for r in rows] == [("1", "2", "s", "true", '["x","y"]', '["x","z"]'), ("3", None, "t", None, '["x"]', '["x"]')]
