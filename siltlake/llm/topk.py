@@ -1,21 +1,29 @@
 """Exact top-k search: an impact-ordered, score-at-a-time index over integer vectors.
 
-Rows are dealt by a hash of their id into shards of bounded size. Every query row, a stated set, goes
-to each shard; a shard's rows come first, its queries are streamed after them, so that memory holds
-one shard's rows and a batch of queries.
-
-A shard's index holds for each dimension its rows in segments of equal quantised component. A query
-orders all segments of all dimensions by the impact they may have, |q_d| times the segment's distance
-from the dimension's worst value, and adds contributions segment after segment from the top. What is
-not yet processed can add at most the sum over dimensions of the best impact that is left. As soon as
-that bound proves that few rows can still be among the k best, these are scored exactly from their
-vectors and the others are dismissed; until then it goes on, at the end with every segment. The k
-best of each shard meet in a window over (query, shard winners), at most k rows a shard.
+Rows are dealt at random into shards of bounded size, one shard to a task. Every query row, a stated
+set, goes to each shard; a shard's rows come first, its queries are streamed after them in blocks, so
+that memory holds one shard's rows and one block's scores.
+
+A segment is the postings of one dimension in one shard. Its impact on a query is the greatest share
+of a score that it can hold, |q_d| times the dimension's greatest |component|, quantised to `levels`
+steps of the query's greatest impact. Segments are processed by descending quantised impact, for a
+block of queries at once (a matrix product whose factor is 0 where a segment isn't a query's turn).
+After every `look_every` segments the `few` rows that score best so far are scored exactly, and the
+k-th of these scores is the threshold. What a row may still gain is at most the length of the query's
+rest times the length of the row's own rest (Cauchy-Schwarz), so rows whose score and gain lie below
+the threshold are proven out. A first look comes before any segment, at the longest rows. Once at most
+an `open_share` of the rows is left for every query of the block, these possible members are scored
+exactly and the rest of the segments isn't read. Without that proof all segments are. The k best of
+each shard meet in a window over (query, shard winners), at most k rows a shard.
+
+Sums are of integers in the narrowest floating type that holds every one of them exactly, by a bound
+proven from the greatest components; where none does, whole numbers of any size score all rows.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part, nor
 do null ids. Shorter vectors count as padded with zeros. Rows with the query's own id are never its
 candidates; of rows that repeat a query's id the least vector is the query. Repeated candidate rows
-each take a rank. Ties go to the smaller vec_id. Arithmetic is in 64-bit integers.
+each take a rank. Ties go to the smaller vec_id. Scores beyond 64 bits are ranked within their shard by
+their exact value and given as the nearest 64-bit number.
 """
 
 from __future__ import annotations
@@ -36,73 +44,133 @@ class TopKParams:
     scale: int = 256
     query_modulus: int = 50
     shard_rows: int = 16384
-    levels: int = 16  # quantised components of a dimension
-    look_every: int = 48  # segments between two looks at the bound
-    few: int = 256  # possible members that are scored at once
+    levels: int = 16  # quantised impacts
+    look_every: int = 8  # segments of a query between two looks at the bound
+    few: int = 32  # rows whose exact scores make the threshold
+    block: int = 256  # queries that are searched together
+    open_share: float = 1 / 16  # of a shard's rows: so many possible members are scored at once
+
+
+def _type_for(n_dims: int, a: int, b: int):
+    """The narrowest type in which sums of n_dims products up to a * b are exact."""
+    most = n_dims * max(a, b, 1) ** 2
+    return np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else object
 
 
 class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, p: TopKParams):
-        self.ids, self.vectors, self.p = ids, vectors, p
-        n, dims = vectors.shape
-        self.low, self.high = vectors.min(axis=0), vectors.max(axis=0)
-        span = np.maximum(1, self.high - self.low + 1)
-        self.segments = []  # (dimension, least component, greatest component, rows, components)
-        for d in range(dims):
-            level = (vectors[:, d] - self.low[d]) * p.levels // span[d]
-            order = np.argsort(level, kind="stable")
-            cuts = np.searchsorted(level[order], np.arange(p.levels + 1))
-            for s, e in zip(cuts, cuts[1:]):
-                if s < e:
-                    rows = order[s:e]
-                    parts = vectors[rows, d]
-                    self.segments.append((d, int(parts.min()), int(parts.max()), rows.astype(np.int32), parts))
-        self.dim = np.array([s[0] for s in self.segments])
-        self.least, self.most = (np.array([s[i] for s in self.segments], np.int64) for i in (1, 2))
+        self.ids, self.exact, self.p = ids.astype(np.int64), vectors, p
+        self.segments = range(vectors.shape[1])
+        self.greatest = np.abs(vectors).max(axis=0)
+        self.most = int(self.greatest.max())
+        self.kind = None
+
+    def _as(self, kind) -> None:
+        if self.kind is not kind:
+            self.kind = kind
+            self.vectors = self.exact.astype(kind)
+            self.squares = self.vectors**2
+            self.norms = self.squares.sum(axis=1)
+            self.longest = np.argsort(-self.norms, kind="stable")
+
+    def turns(self, queries: np.ndarray) -> np.ndarray:
+        """Of each query and segment: between which looks, from 0, the segment is processed."""
+        impact = np.abs(queries).astype(np.float64) * self.greatest.astype(np.float64)
+        quantised = np.ceil(impact / np.maximum(impact.max(axis=1, keepdims=True), 1) * self.p.levels)
+        place = np.argsort(np.argsort(-quantised, axis=1, kind="stable"), axis=1, kind="stable")
+        return place // self.p.look_every
 
     def search(self, query_id: int, q: np.ndarray) -> tuple[list[tuple[int, int]], int]:
         """(score, vec_id) of the k best, and how many segments were processed."""
-        p, n = self.p, len(self.ids)
-        others = self.ids != query_id
-        k = min(p.k, int(others.sum()))
-        if not k:
-            return [], 0
-        worst = np.minimum(q * self.low, q * self.high)  # each dimension's floor; impacts count from it
-        impact = np.maximum(q[self.dim] * self.least, q[self.dim] * self.most) - worst[self.dim]
-        order = np.argsort(-impact, kind="stable")
-        left = np.zeros((len(order) + 1,), np.int64)
-        ahead = np.zeros(len(q), np.int64)  # the best impact that each dimension has left
-        for at in range(len(order) - 1, -1, -1):
-            s = order[at]
-            left[at] = left[at + 1] - ahead[self.dim[s]] + impact[s]
-            ahead[self.dim[s]] = impact[s]
-        found = np.full(n, worst.sum(), np.int64)
-        at, members = 0, None
-        while at < len(order):
-            for s in order[at : at + p.look_every]:
-                d, _, _, rows, parts = self.segments[s]
-                found[rows] += q[d] * parts - worst[d]
-            at = min(len(order), at + p.look_every)
-            # what is found is a lower bound; with what is left it is an upper one
-            kth = np.partition(found[others], -k)[-k]
-            members = others & (found + left[at] >= kth)
-            if int(members.sum()) <= max(p.few, 4 * k):
+        found, done = self.search_block(np.array([query_id]), q[None, :])
+        return [(score, i) for _, i, score in found], done
+
+    def search_block(self, ids: np.ndarray, queries: np.ndarray) -> tuple[list[tuple[int, int, int]], int]:
+        """(query, row's id, score) of each query's k best, and how many segments were processed for each."""
+        kind = _type_for(queries.shape[1], self.most, int(np.abs(queries).max(initial=0)))
+        if kind is object:
+            return self._exhaust(ids, queries), len(self.segments)
+        self._as(kind)
+        p, n, q = self.p, len(self.ids), queries.astype(kind)
+        own = [np.flatnonzero(self.ids == i) for i in ids]
+        few = min(n, max(p.few, p.k) + max((len(x) for x in own), default=0))
+        allowed = max(p.open_share * n, few)
+        turn = self.turns(queries)
+        partial, rest, left = None, None, (q**2).sum(axis=1)
+
+        def members(i: int, seeds: np.ndarray, bound: np.ndarray) -> np.ndarray:
+            seeds = seeds[~np.isin(seeds, own[i])]
+            if len(seeds) < p.k:
+                return np.arange(n)
+            threshold = np.partition(self.vectors[seeds] @ q[i], -p.k)[-p.k]
+            return np.flatnonzero(bound >= threshold)
+
+        def gain(of: np.ndarray, i: int) -> np.ndarray:
+            return np.sqrt(of.clip(0) * max(left[i], 0)) * kind(1 + 1e-5) + 1  # makes up for the root's rounding
+
+        def look(at_most: float) -> list[np.ndarray] | None:
+            found = []
+            seeds = None if partial is None else np.argpartition(partial, n - few, axis=1)[:, n - few :]
+            for i in range(len(q)):
+                rows = members(i, self.longest[:few], gain(self.norms, i)) if partial is None else members(i, seeds[i], partial[i] + gain(rest[i], i))
+                if len(rows) > at_most:
+                    return None
+                found.append(rows)
+            return found
+
+        done, rows = 0, look(allowed)
+        for at in range(int(turn.max()) + 1):
+            if rows is not None:
                 break
-        rows = np.flatnonzero(members)
-        exact = self.vectors[rows] @ q
-        best = sorted(zip((-exact).tolist(), self.ids[rows].tolist()))[:k]
-        return [(-s, i) for s, i in best], at
+            if partial is None:
+                partial, rest = np.zeros((len(q), n), kind), np.tile(self.norms, (len(q), 1))
+            now = turn == at
+            used = now.any(axis=0)
+            factor = np.where(now, q, 0)[:, used]
+            partial += factor @ self.vectors[:, used].T
+            rest -= now[:, used].astype(kind) @ self.squares[:, used].T
+            left = left - (factor**2).sum(axis=1)
+            done += int(now[0].sum())
+            rows = look(allowed if at < turn.max() else n)
+        out = []
+        for i, found in enumerate(rows):
+            found = found[~np.isin(found, own[i])]
+            scores = (self.vectors[found] @ q[i]).astype(np.int64)
+            order = np.lexsort((self.ids[found], -scores))[: p.k]
+            out += [(int(ids[i]), int(self.ids[found[j]]), int(scores[j])) for j in order]
+        return out, done
+
+    def _exhaust(self, ids: np.ndarray, queries: np.ndarray) -> list[tuple[int, int, int]]:
+        rows, out = self.exact.astype(object), []
+        for i, q in zip(ids.tolist(), queries.astype(object)):
+            best = sorted((-s, j) for s, j in zip((rows @ q).tolist(), self.ids.tolist()) if j != i)[: self.p.k]
+            out += [(i, j, max(-(1 << 63), min((1 << 63) - 1, -s))) for s, j in best]
+        return out
 
 
 def integer_vectors(lists: pa.Array, dims: int, scale: int) -> np.ndarray:
-    out = np.zeros((len(lists), dims), np.int64)
+    """floor(scale * x), exactly; of Python integers where 63 bits can't hold one."""
     offsets = lists.offsets.to_numpy()
-    flat = np.floor(scale * lists.values.to_numpy(zero_copy_only=False).astype(np.float64))
+    values = lists.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    values = values[offsets[0] : offsets[-1]]
+    if len(values) and np.abs(values).max() * scale >= 2.0**62:
+        # from 2**53 on a double is a whole number
+        flat = np.array([int(x) * scale if abs(x) >= 2.0**53 else math.floor(x * scale) for x in values.tolist()], object)
+    else:
+        flat = np.floor(scale * values).astype(np.int64)
+    offsets = offsets - offsets[0]
+    if len(offsets) > 1 and (np.diff(offsets) == dims).all():
+        return flat.reshape(-1, dims)
+    out = np.zeros((len(lists), dims), flat.dtype)
     for i, (s, e) in enumerate(zip(offsets, offsets[1:])):
         out[i, : e - s] = flat[s:e]
     return out
 
 
+def _fit(vectors: np.ndarray, width: int) -> np.ndarray:
+    return np.pad(vectors, ((0, 0), (0, max(0, width - vectors.shape[1]))))[:, :width]
+
+
 def _searched(batches: Iterator[pa.RecordBatch], p: TopKParams) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (shard, is_query): a shard's vectors, then its queries."""
     shard, held, index = None, [], None
@@ -111,24 +179,24 @@ def _searched(batches: Iterator[pa.RecordBatch], p: TopKParams) -> Iterator[pa.R
         keys, kinds = b.column(0).to_numpy(), b.column(1).to_numpy()
         cuts = [0, *(np.flatnonzero((np.diff(keys) != 0) | (np.diff(kinds) != 0)) + 1).tolist(), b.num_rows]
         for s, e in zip(cuts, cuts[1:]):
+            if s == e:
+                continue
             if keys[s] != shard:
                 shard, held, index = keys[s], [], None
             part = b.slice(s, e - s)
             ids, lists = part.column(2).to_numpy(), pa.concat_arrays([part.column(3)])
-            dims = max((len(x) for x in lists), default=0)
-            vectors = integer_vectors(lists, dims, p.scale)
+            vectors = integer_vectors(lists, int(np.diff(lists.offsets.to_numpy()).max(initial=0)), p.scale)
             if not kinds[s]:
                 held.append((ids, vectors))
                 continue
             if index is None and held:
                 width = max(v.shape[1] for _, v in held)
-                index = ImpactIndex(np.concatenate([i for i, _ in held]), np.concatenate([np.pad(v, ((0, 0), (0, width - v.shape[1]))) for _, v in held]), p)
-            if index is None:
-                continue
-            width = index.vectors.shape[1]
-            vectors = np.pad(vectors, ((0, 0), (0, max(0, width - vectors.shape[1]))))[:, :width]
-            for i, q in zip(ids.tolist(), vectors):
-                out += [(i, j, score) for score, j in index.search(i, q)[0]]
+                index = ImpactIndex(np.concatenate([i for i, _ in held]), np.concatenate([_fit(v, width) for _, v in held]), p)
+                held = []
+            if index is not None:
+                vectors = _fit(vectors, index.exact.shape[1])
+                for at in range(0, len(ids), p.block):
+                    out += index.search_block(ids[at : at + p.block], vectors[at : at + p.block])[0]
         yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
 
 
@@ -141,7 +209,7 @@ def top_k(embeddings: DataFrame, p: TopKParams = TopKParams()) -> DataFrame:
     queries = rows.where(F.col("vec_id") % p.query_modulus == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     vectors = rows.select(F.pmod(F.xxhash64("vec_id", "embedding", F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("is_query"), "vec_id", "embedding")
     asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("is_query"), "vec_id", "embedding")
-    met = vectors.union(asked).repartition(shards, "shard").sortWithinPartitions("shard", "is_query")
+    met = vectors.union(asked).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "is_query")
     found = met.mapInArrow(lambda it: _searched(it, p), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= p.k).select("query_id", "rank", "vec_id", "score")
