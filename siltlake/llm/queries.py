@@ -20,6 +20,10 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_of_texts(read_table(spark, sf_dir, "documents"))
 
 
+def sniff_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.sniffed_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(read_table(spark, sf_dir, "conversations"))
 
@@ -61,6 +65,13 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_packing": op10_packing,
+    "sniff_blobs": sniff_blobs,
 }
 
-SQL: dict[str, str] = {"op2_exact_top_k": topk.SQL, "op4_chat_formatting": chat.SQL, "op9_minhash_near_dedup": minhash.SQL_TWO_WORDS}
+SQL: dict[str, str] = {
+    "op2_exact_top_k": topk.SQL,
+    "op3_media_columns": media.SQL,
+    "op4_chat_formatting": chat.SQL,
+    "op9_minhash_near_dedup": minhash.SQL_TWO_WORDS,
+    "sniff_blobs": media.SQL_BLOBS,
+}
