@@ -1,18 +1,28 @@
 """Secret scans: fixed patterns, and dictionary-primed zstandard novelty.
 
-The patterns give the base spans. Novelty adds spans of kind `novel`: a candidate is a run of
-[A-Za-z0-9+/_.=-] of 12 characters or more close after a word that speaks of secrets or access. It
-is measured by its marginal compressed bytes: a zstandard compressor primed with a dictionary of
-code and identifiers compresses the surrounding text without and with the candidate, and the
-difference over the candidate's length says how much the surroundings and the dictionary foretell
-of it. Words, paths and identifiers cost little; keys cost nearly their entropy. A candidate that
-costs at least `threshold` of its length, mixes digits with letters and lies outside every base span
-is reported, and with it every other place of the same string. Its other places close after such a
-word or in a base span are left out of the surroundings, so that a repeated key doesn't foretell
-itself; a place without such a word still does.
+The patterns give the base spans. Novelty adds spans of kind `novel`. Its candidates are runs of
+[A-Za-z0-9+/_.=-] that begin at most `reach` characters after a word that speaks of secrets or access;
+a run that holds such words is cut at them, so that a candidate never contains one. Candidates have 12
+characters or more and mix at least two of digits, capitals and small letters.
+
+A candidate is measured by its marginal compressed bytes: a zstandard compressor primed with a
+dictionary compresses the surrounding text without and with the candidate, and the difference says
+how much the surroundings and the dictionary foretell of it. Words, paths and identifiers cost little;
+keys cost nearly their entropy. A candidate that costs at least `threshold` of its length and `unit`
+bytes more, and lies outside every base span, is reported, and with it every other place of the same
+string. Its other places close after such a word or in a base span are left out of the surroundings, so that a
+repeated key doesn't foretell itself; a place without such a word still does.
+
+The dictionary is a short fixed piece of code and configuration and, after it, the corpus's own
+identifier words: letter runs, which keys hardly have, counted over all documents; the
+`dictionary_words` in most documents are kept, the most frequent nearest to the text.
+
+Every step is linear in the text: runs, sensitive words and base spans are each found once, a candidate
+is measured once against bounded surroundings, and all places of what is found come from one pass of an
+automaton (of overlapping places the leftmost, then the longest).
 
 Defined results: null text is an empty text, which has no spans. All rows are kept as they come,
-repeats and null ids too. Texts are scanned whole; nothing is shuffled.
+repeats and null ids too. Texts are scanned whole; only word counts are shuffled.
 """
 
 from __future__ import annotations
@@ -21,9 +31,11 @@ import bisect
 import functools
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -37,10 +49,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 HINT = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 SENSITIVE = re.compile(r"pass(?:word|wd|phrase)|secret|token|api.?key|credential|private.?key|bearer|authorization|auth|access|pwd|clave|contrase|mot de passe|passwort|schl(?:ü|ue)ssel|geheim", re.IGNORECASE)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+RUN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+IDENTIFIER_WORD = re.compile(r"[A-Z]?[a-zß-öø-ÿ]{3,24}|[A-Z]{4,24}")
 
-#: What configuration files and programs commonly hold near secrets; the compressor's dictionary.
-DICTIONARY = "\n".join([
+#: What configuration files and programs commonly hold near secrets: the fixed part of the dictionary.
+CODE = "\n".join([
     "import os", "from config import settings", "def get_client(self, region, endpoint):", "return self.session.client(service_name)", "if __name__ == '__main__':",
     "public static final String PASSWORD = System.getenv(\"DB_PASSWORD\");", "const apiKey = process.env.API_KEY;", "export AWS_ACCESS_KEY_ID=", "export AWS_SECRET_ACCESS_KEY=",
     "aws_secret_access_key = ", "aws_session_token = ", "client_id: your-client-id-here", "client_secret: your-client-secret-here", "password: changeme", "token: xxxxxxxxxxxxxxxxxxxxxxxx",
@@ -51,20 +64,27 @@ DICTIONARY = "\n".join([
     "the and of to in that is was for with as on by this from not are be it an or at", "der die das und ist ein nicht mit von zu", "le la les des et est un une que pour dans", "el la los las de que y en un una por con para",
 ]).encode()
 
+#: What comes before the surroundings, so that literals are coded by the letter frequencies of code: the fixed part
+#: backwards, which no match foretells.
+LETTERS = CODE[:640][::-1]
+
 
 @dataclass(frozen=True)
 class SecretParams:
     before: int = 160  # characters of surroundings on either side
     after: int = 80
     reach: int = 48  # the sensitive word ends at most so many characters before the candidate
-    threshold: float = 0.62  # marginal bytes for each byte of the candidate
-    level: int = 3
+    threshold: float = 0.7  # marginal bytes for each byte of the candidate
+    unit: float = 1.0  # and bytes that any string costs which nothing foretells whole
+    level: int = 19  # below, literals change their coding with the candidate, which blurs its cost
+    dictionary_words: int = 4096
 
 
 @functools.lru_cache(4)
-def _compressor(level: int) -> zstandard.ZstdCompressor:
-    dictionary = zstandard.ZstdCompressionDict(DICTIONARY, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    return zstandard.ZstdCompressor(level=level, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False)
+def _compressor(level: int, dictionary: bytes) -> zstandard.ZstdCompressor:
+    primed = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    primed.precompute_compress(level=level)
+    return zstandard.ZstdCompressor(level=level, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
 def _without(text: str, low: int, high: int, places: list[int], n: int) -> str:
@@ -76,13 +96,17 @@ def _without(text: str, low: int, high: int, places: list[int], n: int) -> str:
     return "\n".join([*out, text[low:high]])
 
 
-def novelty(text: str, start: int, end: int, p: SecretParams, others: list[int] = []) -> float:
-    """Marginal compressed bytes of text[start:end] against its surroundings and the dictionary, as a share of its
-    bytes. What starts at `others`, more places of the same string in order, is no part of the surroundings."""
-    c, n = _compressor(p.level), end - start
-    around = _without(text, max(0, start - p.before), start, others, n).encode() + b"\n" + _without(text, end, min(len(text), end + p.after), others, n).encode()
-    candidate = text[start:end].encode()
-    return (len(c.compress(around + b"\n" + candidate)) - len(c.compress(around))) / len(candidate)
+def _marginal(text: str, start: int, end: int, p: SecretParams, others: list[int], dictionary: bytes) -> int:
+    """Bytes that text[start:end] adds to its compressed surroundings. What starts at `others`, more places of the
+    same string in order, is no part of these."""
+    c, n = _compressor(p.level, dictionary), end - start
+    around = LETTERS + _without(text, max(0, start - p.before), start, others, n).encode("utf-8", "surrogatepass") + b"\n" + _without(text, end, min(len(text), end + p.after), others, n).encode("utf-8", "surrogatepass")
+    return len(c.compress(around + b"\n" + text[start:end].encode())) - len(c.compress(around))
+
+
+def novelty(text: str, start: int, end: int, p: SecretParams, others: list[int] = [], dictionary: bytes = CODE) -> float:
+    """Marginal compressed bytes of text[start:end] against its surroundings and the dictionary, as a share of its bytes."""
+    return _marginal(text, start, end, p, others, dictionary) / (end - start)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -96,71 +120,140 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _places(text: str, run: str) -> list[int]:
-    """Where the string stands, from the left without overlap."""
-    out, at = [], text.find(run)
+class Covered:
+    """Whether a stretch meets any of some spans."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts, self.ends = [], []
+        for start, _, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect.bisect_left(self.starts, end)
+        return k > 0 and self.ends[k - 1] > start
+
+
+def _mixed(run: str) -> bool:
+    return any(c.isdigit() for c in run) + any("a" <= c <= "z" for c in run) + any("A" <= c <= "Z" for c in run) >= 2
+
+
+def candidates(text: str, words: list[tuple[int, int]], reach: int) -> list[tuple[int, int]]:
+    """(start, end) of the runs, or pieces of them, that begin close after a sensitive word; words: their spans, in order."""
+    out, begins, ends = [], [s for s, _ in words], [e for _, e in words]
+    for m in RUN.finditer(text, begins[0]) if words else ():
+        start, end = m.span()
+        first, last = bisect.bisect_left(ends, start + 1), bisect.bisect_left(begins, end)
+        at = start if first and start - ends[first - 1] <= reach else None
+        for s, e in words[first:last]:  # words that meet the run
+            if at is not None and s > at:
+                out.append((at, s))
+            at = e
+        if at is not None and at < end:
+            out.append((at, end))
+    trimmed = []
+    for start, end in out:
+        run = text[start:end]
+        run = run if run.endswith("==") else run.rstrip(".=")
+        bare = run.lstrip("=._-")
+        start += len(run) - len(bare)
+        if len(bare) >= 12 and _mixed(bare):
+            trimmed.append((start, start + len(bare)))
+    return trimmed
+
+
+def _places(text: str, run: str, low: int, high: int) -> list[int]:
+    """Where the string stands within text[low:high], from the left without overlap."""
+    out, at = [], text.find(run, low, high)
     while at >= 0:
         out.append(at)
-        at = text.find(run, at + len(run))
+        at = text.find(run, at + len(run), high)
     return out
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]], p: SecretParams = SecretParams()) -> list[tuple[int, int, int]]:
-    out, done = [], -1
-    words = list(SENSITIVE.finditer(text))
-    begins = [w.start() for w in words]
-    in_base = lambda start, end: any(s < end and start < e for s, _, e in base)
-    found, repeats = set(), {}
-
-    def others(run: str) -> list[int]:
-        """Places of a repeated string that don't overlap and are in a base span or close after a sensitive word."""
-        if run not in repeats:
-            places = _places(text, run)
-            near = lambda at: (k := bisect.bisect_right(begins, at)) and at <= words[k - 1].end() + p.reach
-            repeats[run] = [at for at in places if near(at) or in_base(at, at + len(run))] if len(places) > 1 else []
-        return repeats[run]
-
-    for word in words:
-        for m in CANDIDATE.finditer(text, max(word.start(), done), min(len(text), word.end() + p.reach)):
-            start, end = m.start(), m.end()
-            if end == word.end() + p.reach:  # the run goes on past the window
-                end = CANDIDATE.match(text, start).end()
-            if start <= done or start > word.end() + p.reach:
-                continue
-            run = text[start:end].rstrip(".=") if not text[start:end].endswith("==") else text[start:end]
-            end = start + len(run)
-            if not (any(c.isdigit() for c in run) and any(c.isalpha() for c in run)) or len(run) < 12:
-                continue
-            if in_base(start, end):
+def _all_places(text: str, strings: set[str]) -> dict[str, list[int]]:
+    """Where the strings stand, from the left; of overlapping ones the leftmost and then the longest."""
+    out = {s: [] for s in strings}
+    if strings:
+        a = ahocorasick.Automaton()
+        for s in strings:
+            a.add_word(s, s)
+        a.make_automaton()
+        for end, s in a.iter_long(text):
+            out[s].append(end - len(s) + 1)
+    return out
+
+
+def novel_spans(text: str, base: list[tuple[int, int, int]], p: SecretParams = SecretParams(), dictionary: bytes = CODE) -> list[tuple[int, int, int]]:
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    covered = Covered(base)
+    wanted = [(s, e) for s, e in candidates(text, words, p.reach) if not covered.meets(s, e)]
+    if not wanted:
+        return []
+    ends = [e for _, e in words]
+
+    def close(at: int) -> bool:
+        k = bisect.bisect_right(ends, at)
+        return k > 0 and at - ends[k - 1] <= p.reach
+
+    taken, found = [], set()
+    for start, end in wanted:
+        run, n = text[start:end], end - start
+        if run not in found:
+            near = _places(text, run, max(0, start - p.before - n), start) + _places(text, run, end, end + p.after + n)
+            others = [x for x in near if close(x) or covered.meets(x, x + n)]
+            if _marginal(text, start, end, p, others, dictionary) < p.threshold * n + p.unit:
                 continue
-            if run in found or novelty(text, start, end, p, others(run)) >= p.threshold:
-                out.append((start, 3, end))
-                found.add(run)
-                done = end
-    taken = sorted(out)
-    for run in found:
-        for start in _places(text, run):
-            end = start + len(run)
-            k = bisect.bisect_left(taken, (end,))
-            if not (k and taken[k - 1][2] > start) and not in_base(start, end):
-                taken.insert(k, (start, 3, end))
-    return taken
+        taken.append((start, 3, end))
+        found.add(run)
+    own = Covered(taken)
+    for run, at in _all_places(text, found).items():
+        taken += [(s, 3, s + len(run)) for s in at if not own.meets(s, s + len(run)) and not covered.meets(s, s + len(run))]
+    return sorted(taken)
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
 
-def scan(text: str, p: SecretParams = SecretParams()) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def scan(text: str, p: SecretParams = SecretParams(), dictionary: bytes = CODE) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     base = base_spans(text)
-    return base, novel_spans(text, base, p)
+    return base, novel_spans(text, base, p, dictionary)
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    count: Counter = Counter()
+
+    def out() -> pa.RecordBatch:
+        b = pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["word", "n"])
+        count.clear()
+        return b
+
+    for b in slices(batches):
+        for text in b.column(0).to_pylist():
+            count.update(set(IDENTIFIER_WORD.findall(text or "")))
+        if len(count) > 200_000:
+            yield out()
+    yield out()
+
+
+def corpus_dictionary(documents: DataFrame, p: SecretParams = SecretParams()) -> bytes:
+    """The compressor's dictionary for these documents: CODE, and the words that most documents hold."""
+    counts = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(p.dictionary_words).select("word").collect()
+    return "\n".join([CODE.decode(), *(r.word for r in reversed(top))]).encode()
 
 
-def _scanned(batches: Iterator[pa.RecordBatch], p: SecretParams) -> Iterator[pa.RecordBatch]:
+def _scanned(batches: Iterator[pa.RecordBatch], p: SecretParams, dictionary: bytes) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
         rows = []
         for text in b.column(1).to_pylist():
-            base, novel = scan(text or "", p)
+            base, novel = scan(text or "", p, dictionary)
             count = [sum(k == i for _, k, _ in base) for i in range(3)]
             rows.append((*count, hashlib.sha256(written(base).encode()).hexdigest(), written(base + novel), len(novel)))
         columns = list(zip(*rows))
@@ -169,14 +262,15 @@ def _scanned(batches: Iterator[pa.RecordBatch], p: SecretParams) -> Iterator[pa.
 
 def scan_documents(documents: DataFrame, p: SecretParams = SecretParams()) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(lambda it: _scanned(it, p), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long")
+    dictionary = corpus_dictionary(docs, p)
+    return docs.mapInArrow(lambda it: _scanned(it, p, dictionary), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_novel long")
 
 
-def redact(text: str | None, p: SecretParams = SecretParams()) -> str | None:
+def redact(text: str | None, p: SecretParams = SecretParams(), dictionary: bytes = CODE) -> str | None:
     """The text with every span replaced by [SECRET]; overlapping spans are one."""
     if not text:
         return text
-    base, novel = scan(text, p)
+    base, novel = scan(text, p, dictionary)
     out, at = [], 0
     for start, _, end in sorted(base + novel):
         if start >= at:
@@ -187,12 +281,12 @@ def redact(text: str | None, p: SecretParams = SecretParams()) -> str | None:
 
 def redact_documents(documents: DataFrame, p: SecretParams = SecretParams()) -> DataFrame:
     """The same columns and rows; `text` is redacted, and `n_chars`, where there is one, counted again."""
-    names = documents.columns
+    names, dictionary = documents.columns, corpus_dictionary(documents, p)
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            clean = [redact(t, p) for t in b.column(at).to_pylist()]
+            clean = [redact(t, p, dictionary) for t in b.column(at).to_pylist()]
             columns = list(b.columns)
             columns[at] = pa.array(clean, b.schema.field(at).type)
             if "n_chars" in names:
