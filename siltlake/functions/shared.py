@@ -12,10 +12,14 @@ _own: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a temporary folder of this process."""
+    """spark.checkpoint.dir. Only in local mode, where driver and executors are one process, a temporary folder of
+    this process stands in where it is unset, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors share (master is {master})")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="siltlake-"))
         atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
