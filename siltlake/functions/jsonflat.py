@@ -7,11 +7,13 @@ with object keys sorted, and counts as a string. Only the first JSON value of a
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from siltlake.functions import murmur
@@ -93,42 +95,93 @@ def leaves(value: dict, prefix: str = "", depth: int = 0) -> Iterator[tuple[str,
             yield prefix + k, depth, v
 
 
-def flatten(text: str | None, buckets: int) -> list[tuple] | None:
-    """Leaves by key; None for blank or undecodable texts and for values that are no objects; JSON null
-    is an empty object."""
+def found_leaves(text: str | None) -> dict[str, tuple[int, object]] | None:
+    """Key -> depth and value; None for blank or undecodable texts and for values that are no objects; JSON
+    null is an empty object."""
     if text is None or not text.strip(" \t\n\r"):
         return None
     try:
         value = _decoder.raw_decode(text, _SPACE.match(text).end())[0]
         if value is None:
-            return []
-        if not isinstance(value, dict):
+            return {}
+        return {k: (d, v) for k, d, v in leaves(value)} if isinstance(value, dict) else None
+    except (ValueError, RecursionError):
+        return None
+
+
+def _plain(text: str) -> str:
+    """Lone surrogates replaced."""
+    return text if text.isascii() else text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
+def flatten(text: str | None, buckets: int) -> list[tuple] | None:
+    """Leaves by key; None where found_leaves gives None."""
+    try:
+        found = found_leaves(text)
+        if found is None:
             return None
-        found = {k: (d, v) for k, d, v in leaves(value)}
         out = []
         for key in sorted(found, key=lambda k: k.encode("utf-8", "surrogatepass")):
             depth, v = found[key]
             plain = v if isinstance(v, str) else compact(v)
             form = quoted(plain) if isinstance(v, list) else compact(v)
-            name = key.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+            name, kind = _plain(key), kind_of(v)
             shown = shown_float(v) if isinstance(v, Number) else None
-            plain = plain.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-            if kind_of(v) == INT and plain == "-0":
-                plain = "0"
-            out.append((name, quoted(name), murmur.bucket(name, buckets), kind_of(v), depth, plain, form, shown))
+            plain = "0" if kind == INT and plain == "-0" else _plain(plain)
+            out.append((name, _quoted_name(name), murmur.bucket(name, buckets), kind, depth, plain, form, shown))
         return out
     except (ValueError, RecursionError):
         return None
 
 
+_quoted_name = functools.lru_cache(65_536)(quoted)
+
+
 def flat(column, buckets: int = 256):
     """Column of FLAT from a column of JSON texts."""
 
-    @F.pandas_udf(FLAT)
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if (x := flatten(t, buckets)) is None else [dict(zip(_NAMES, leaf)) for leaf in x] for t in texts], dtype=object)
+    @F.arrow_udf(FLAT)
+    def run(texts: pa.Array) -> pa.Array:
+        found = [flatten(t, buckets) for t in texts.to_pylist()]
+        ends = [0, *accumulate(len(x) if x else 0 for x in found)]
+        columns = list(zip(*(leaf for x in found if x for leaf in x))) or [()] * len(_NAMES)
+        kinds = [pa.int32() if n in ("bucket", "kind", "depth") else pa.string() for n in _NAMES]
+        leaves_ = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], _NAMES)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), leaves_, mask=pa.array([x is None for x in found], pa.bool_()))
 
     return run(column)
 
 
+def counted_keys(batches: Iterator[pa.RecordBatch], buckets: int, most: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Columns of a scope and then JSON texts -> the scope's columns, key, rows, kinds, max_depth and bucket, partial
+    sums of each batch. Only what statistics need is made of a leaf."""
+    for b in batches:
+        scope = list(zip(*(c.to_pylist() for c in b.columns[:-1]))) if b.num_columns > 1 else [()] * b.num_rows
+        count: dict[tuple, list[int]] = {}
+
+        def out() -> pa.RecordBatch:
+            arrays = [pa.array([k[i] for k in count], b.schema.field(i).type) for i in range(b.num_columns - 1)]
+            arrays += [pa.array([k[-1] for k in count], pa.string()), *(pa.array([v[i] for v in count.values()], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32())))]
+            arrays.append(pa.array([murmur.bucket(k[-1], buckets) for k in count], pa.int32()))
+            return pa.RecordBatch.from_arrays(arrays, [*b.schema.names[:-1], "key", "rows", "kinds", "max_depth", "bucket"])
+
+        for of, text in zip(scope, b.column(b.num_columns - 1).to_pylist()):
+            for key, (depth, v) in (found_leaves(text) or {}).items():
+                try:
+                    kind = kind_of(v)
+                except ValueError:  # beyond the digits that Python reads
+                    continue
+                at = count.get((*of, key))
+                if at is None:
+                    at = count[(*of, key)] = [0, 0, 0]
+                at[0] += 1
+                at[1] |= kind
+                at[2] = max(at[2], depth)
+            if len(count) >= most:
+                yield out()
+                count.clear()
+        if count:
+            yield out()
+
+
 _NAMES = [x.split(" ")[0] for x in LEAF.split(", ")]

@@ -25,17 +25,17 @@ def dynamic_columns(configured: dict[str, str] | None) -> dict[str, str]:
     return {n: wanted.get(n, s) for n, s in DEFAULTS.items()} | {n: wanted[n] for n in sorted(wanted) if n not in DEFAULTS}
 
 
-def source_column(source: str) -> Column:
+def source_column(source: str, now: Column | None = None) -> Column:
     return {
         "kafka_time": F.col("timestamp"),
-        "current_time": F.current_timestamp(),
+        "current_time": F.current_timestamp() if now is None else now,
         "kafka_offset": F.col("offset").cast("bigint"),
         "kafka_partition": F.col("partition").cast("bigint"),
     }[source]
 
 
-def enrich(envelope: DataFrame, configured: dict[str, str] | None = None) -> tuple[DataFrame, tuple[str, ...]]:
+def enrich(envelope: DataFrame, configured: dict[str, str] | None = None, now: Column | None = None) -> tuple[DataFrame, tuple[str, ...]]:
     """The envelope with its metadata columns, and their names: they win over payload fields of the
-    same name. current_time is one time per query or micro-batch."""
+    same name. current_time is `now`, else one time per query or micro-batch."""
     columns = dynamic_columns(configured)
-    return envelope.withColumns({n: source_column(s) for n, s in columns.items()}), tuple(columns)
+    return envelope.withColumns({n: source_column(s, now) for n, s in columns.items()}), tuple(columns)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltlake.functions import jsonflat
 from siltlake.functions.jsonflat import BOOL, FLOAT, INT, NULL, STRING
@@ -37,11 +38,21 @@ def key_stats(df: DataFrame, scope: list[str], leaves: str = "_leaves") -> DataF
     return stats.withColumn("type", joined_type(F.col("kinds")))
 
 
+def key_stats_of(df: DataFrame, column: str, scope: list[str], buckets: int = 256) -> DataFrame:
+    """key_stats of a column of JSON texts, counted where the texts are parsed; no leaf leaves its task."""
+    texts = df.select(*scope, F.col(f"`{column}`").cast("string").alias("_text"))
+    kinds = StructType([*(texts.schema[c] for c in scope), *StructType.fromDDL("key string, rows long, kinds int, max_depth int, bucket int").fields])
+    parts = texts.mapInArrow(lambda it: jsonflat.counted_keys(it, buckets), kinds)
+    stats = parts.groupBy(*scope, "key").agg(F.sum("rows").alias("rows"), F.bit_or("kinds").alias("kinds"), F.max("max_depth").alias("max_depth"), F.min("bucket").alias("bucket"))
+    return stats.withColumn("type", joined_type(F.col("kinds")))
+
+
 def plan(stats: DataFrame, scope: list[str], max_subcolumns: int = 1024, max_depth: int = 5) -> DataFrame:
     """The statistics with `placement`: subcolumn or overflow, and `rank` of the subcolumns."""
-    w = Window.partitionBy(*scope).orderBy(F.desc("rows"), "key")
-    top = stats.where(F.col("max_depth") <= max_depth).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_subcolumns)
-    out = stats.join(top.select(*scope, "key", "rank"), [*scope, "key"], "left")
+    shallow = F.col("max_depth") <= max_depth
+    w = Window.partitionBy(*scope, shallow).orderBy(F.desc("rows"), "key")
+    rank = F.row_number().over(w)
+    out = stats.withColumn("rank", F.when(shallow & (rank <= max_subcolumns), rank))
     return out.withColumn("placement", F.when(F.col("rank").isNull(), "overflow").otherwise("subcolumn"))
 
 
@@ -88,7 +99,7 @@ def expand(df: DataFrame, leaves: str = "_leaves", plan_column: str = "_plan", m
 def shred(df: DataFrame, column: str, scope: list[str], max_subcolumns: int = 1024, buckets: int = 256, max_depth: int = 5) -> DataFrame:
     """df with _sub, _buckets and _keys. Texts are parsed once for the plan and once for the rows; the
     plans are small beside the rows, and Spark broadcasts them where their size allows it."""
-    maps = plan_maps(key_stats(flattened(df.select(*scope, column), column, buckets), scope), scope, max_subcolumns, max_depth)
+    maps = plan_maps(key_stats_of(df, column, scope, buckets), scope, max_subcolumns, max_depth)
     rows = flattened(df, column, buckets)
     return expand(rows.join(maps, scope, "left"), max_depth=max_depth).drop("_leaves", "_plan")
 

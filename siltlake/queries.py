@@ -6,19 +6,19 @@ texts only, over the whole table.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
+import contextlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltlake.config import Config, JsonColumn, ParquetConfig
 from siltlake.functions import coerce
-from siltlake.functions.shared import shared_root
+from siltlake.functions.shared import hadoop_path, new_folder
 from siltlake.operators import enrich, layout, route, shred
 from siltlake.plans import ingest
 from siltlake.read import json_field, table
-from siltlake.sinks import files
+from siltlake.sources import replay
 from siltlake.streaming import buffer
 from siltlake.streaming import ingest as stream_ingest_plan
 
@@ -45,7 +45,7 @@ TEMPLATE = route.Template("team={{team_id}}/date={{date}}/event={{event}}/")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return replay.spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +128,7 @@ def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats(spark: SparkSession, sf_dir: str, scope: list[str]) -> DataFrame:
-    return shred.key_stats(shred.flattened(nested(spark, sf_dir), "p", 4), scope)
+    return shred.key_stats_of(nested(spark, sf_dir), "p", scope, 4)
 
 
 def json_key_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,13 +178,13 @@ def json_depth_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sort_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = coerce.parse(messages(spark, sf_dir), ["event", "amount", "team_id"]).where("_valid")
     df, _ = enrich.enrich(df.withColumn("_path", F.concat(F.lit("p="), F.expr("cast(partition as string)"))))
-    out = layout.in_file_order(df, keys=layout.sort_keys([("event", False), ("team_id", True)]))
+    out = layout.in_file_order(df, keys=layout.sort_keys([("event", False), ("team_id", True)]), keep=["offset"])
     return out.select("offset", F.col("_path").alias("path"), F.col("_row").alias("position"))
 
 
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     df, _ = enrich.enrich(_routed(spark, sf_dir).withColumn("_path", F.regexp_extract("_path", "event=[^/]*/", 0)))
-    out = layout.with_file_index(df, 300)
+    out = layout.with_file_index(df, 300, keep=["offset"])
     return out.groupBy(F.col("_path").alias("path"), F.col("_file").cast("long").alias("file")).agg(F.count("*").alias("rows"), F.min("offset").alias("first"), F.max("offset").alias("last"))
 
 
@@ -194,11 +194,22 @@ def _config(base: str, **more) -> Config:
     return Config(key_prefix="event={{event}}/", sinks={"out": {"type": "filesystem", "path": base}}, parquet=p, **more)
 
 
+@atexit.register
+def _delete_folders() -> None:
+    for path, spark in _folders:
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            system, p = hadoop_path(spark, path)
+            system.delete(p, True)
+
+
+_folders: list[tuple[str, SparkSession]] = []
+
+
 def _folder(spark: SparkSession, name: str) -> str:
-    root = shared_root(spark)
-    local = root.removeprefix("file:").replace("///", "/")
-    os.makedirs(local, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
+    """A new folder in the shared one, deleted when the process ends."""
+    path = new_folder(spark, name)
+    _folders.append((path, spark))
+    return path
 
 
 def write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +234,6 @@ def write_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _folder(spark, "stream")
     messages(spark, sf_dir).repartition(4).write.parquet(f"{root}/in")
-    from siltlake.sources import replay
-
     q = stream_ingest_plan.start(replay.stream(spark, f"{root}/in", files_per_trigger=2), _config(f"{root}/out"), f"{root}/checkpoint", available_now=True)
     q.awaitTermination()
     df = table(spark, f"{root}/out")

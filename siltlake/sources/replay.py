@@ -16,3 +16,10 @@ def stream(spark: SparkSession, path: str, fmt: str = "parquet", files_per_trigg
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with fewer splits than the session has cores, dealt over all of them, so that parsing a few
+    small files isn't left to a few tasks; larger inputs as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
