@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from siltlake import config, observe
 from siltlake.sources import kafka
-from siltlake.streaming import ingest
+from siltlake.streaming import buffer, ingest
 
 
 def main(args: list[str]) -> None:
@@ -20,9 +20,8 @@ def main(args: list[str]) -> None:
     c = config.load(args[0] if args else "config.yml")
     spark = SparkSession.builder.appName("siltlake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.streams.addListener(observe.Progress())
-    # a micro-batch takes in what a full buffer of each pending flush would hold
-    limit = c.buffer.max_events * c.buffer.max_pending_flushes
-    query = ingest.start(kafka.stream(spark, c.source(), limit), c, os.path.join(c.data_dir, "checkpoint"))
+    observe.METRICS.serve(c.metrics_port)
+    query = ingest.start(kafka.stream(spark, c.source(), buffer.offsets_per_trigger(c.buffer)), c, os.path.join(c.data_dir, "checkpoint"))
     query.awaitTermination()
 
 

@@ -95,33 +95,44 @@ def _pick(kind, given: dict):
     return kind(**{k: v for k, v in (given or {}).items() if k in kind.__dataclass_fields__ and v not in (None, 0, "")})
 
 
+def _fields(given) -> tuple[dict[str, str], list[str], list[str]]:
+    """Types of a schema's fields, those without statistics, those with a Bloom filter."""
+    fields = {n: (t if isinstance(t, dict) else {"type": t}) for n, t in (given or {}).items()}
+    return {n: t.get("type") or "utf8" for n, t in fields.items()}, [n for n, t in fields.items() if t.get("minmax_index") is False], [n for n, t in fields.items() if t.get("bloom_filter")]
+
+
+def _json_columns(given) -> list[JsonColumn]:
+    """A list of entries with `column` (or `name`), or a mapping from names."""
+    entries = given.items() if isinstance(given, dict) else ((c.get("column") or c.get("name"), c) for c in given or [])
+    out = [_pick(JsonColumn, {**(c or {}), "name": n}) for n, c in sorted(entries)]
+    for c in out:
+        c.max_depth = 5  # the depth that takes effect is fixed
+    return out
+
+
 def from_dict(raw: dict) -> Config:
-    """Keys that the engine doesn't know are ignored; zeros and empty values mean the default."""
+    """Settings of the sink that is in use (see Config.sink), which may also stand at the top. Keys that the engine
+    doesn't know are ignored; zeros and empty values mean the default."""
     raw = raw or {}
-    sinks = raw.get("sinks") or {}
-    first = next((sinks[n] for n in sorted(sinks)), {})
-    encoding = {**(raw.get("parquet") or {}), **(first.get("encoding") or {}), **((first.get("encoding") or {}).get("parquet") or {})}
     out = _pick(Config, {k: v for k, v in raw.items() if k not in ("buffer", "parquet")})
-    out.buffer = _pick(BufferConfig, raw.get("buffer") or first.get("buffer"))
-    out.key_prefix = raw.get("key_prefix") or first.get("key_prefix") or ""
-    schema = {n: (t if isinstance(t, str) else t.get("type", "utf8")) for n, t in (encoding.get("schema") or {}).items()}
-    no_bounds = [n for n, t in (encoding.get("schema") or {}).items() if isinstance(t, dict) and t.get("minmax_index") is False]
-    json_columns = [_pick(JsonColumn, {"name": n, **(c or {})}) for n, c in sorted(_named(encoding.get("json_columns")).items())]
-    for c in json_columns:
-        c.max_depth = 5  # the depth that takes effect is fixed
-    order = [(c, False) if isinstance(c, str) else (c.get("column") or c.get("name"), bool(c.get("descending") or c.get("order") == "desc")) for c in encoding.get("sort_columns") or encoding.get("sorting_columns") or []]
+    try:
+        sink = out.sink()
+    except ConfigError:
+        sink = next((raw["sinks"][n] for n in sorted(raw.get("sinks") or {})), {})
+    encoding = {**(raw.get("parquet") or {}), **(sink.get("encoding") or {}), **((sink.get("encoding") or {}).get("parquet") or {})}
+    batching = {**(raw.get("buffer") or {}), **(sink.get("buffer") or {}), **(sink.get("disk_batching") or {})}
+    out.buffer = _pick(BufferConfig, {**batching, **(batching.get("backpressure") or {})})
+    out.key_prefix = raw.get("key_prefix") or sink.get("key_prefix") or ""
+    out.dynamic_columns = {**(raw.get("dynamic_columns") or {}), **(encoding.get("dynamic_columns") or {})}
+    schema, no_bounds, blooms = _fields(encoding.get("schema"))
+    order = [(c, False) if isinstance(c, str) else (c.get("column") or c.get("name"), bool(c.get("descending") or c.get("order") == "desc")) for c in encoding.get("sorting_columns") or encoding.get("sort_columns") or []]
     out.parquet = _pick(ParquetConfig, {k: v for k, v in encoding.items() if k not in ("schema", "json_columns", "sort_columns")})
-    out.parquet.schema, out.parquet.json_columns, out.parquet.sort_columns = schema, json_columns, order
+    out.parquet.schema, out.parquet.json_columns, out.parquet.sort_columns = schema, _json_columns(encoding.get("json_columns")), order
     out.parquet.no_bounds = no_bounds + [c for c in out.parquet.no_bounds if c not in no_bounds]
+    out.parquet.bloom_filters = blooms + [c for c in out.parquet.bloom_filters if c not in blooms]
     return out
 
 
-def _named(given) -> dict:
-    if isinstance(given, dict):
-        return given
-    return {c["name"]: {k: v for k, v in c.items() if k != "name"} for c in given or []}
-
-
 def load(path: str) -> Config:
     import yaml
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import bisect
+import contextlib
+import http.server
+import itertools
 import json
 import logging
+import threading
 import time
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -43,6 +48,80 @@ def exposition(values: dict[str, float], prefix: str = "siltlake") -> str:
     return "".join(f"# TYPE {prefix}_{n} counter\n{prefix}_{n} {v}\n" for n, v in sorted(values.items()))
 
 
+class Registry:
+    """Running totals of the process: counters, and per label where there is one; and histograms of seconds."""
+
+    BOUNDS = (0.1, 0.5, 1, 5, 10, 30, 60, 300)
+
+    def __init__(self):
+        self._lock, self.totals, self.times = threading.Lock(), {}, {}
+
+    def add(self, name: str, value: float = 1, **labels: str) -> None:
+        key = (name, tuple(sorted(labels.items())))
+        with self._lock:
+            self.totals[key] = self.totals.get(key, 0) + value
+
+    @contextlib.contextmanager
+    def timed(self, stage: str):
+        began = time.monotonic()
+        try:
+            yield
+        finally:
+            took = time.monotonic() - began
+            with self._lock:
+                counts, total = self.times.get(stage, ([0] * (len(self.BOUNDS) + 1), 0.0))
+                counts[bisect.bisect_left(self.BOUNDS, took)] += 1
+                self.times[stage] = (counts, total + took)
+
+    def flushed(self, written: list[dict], reason: str) -> None:
+        """A flush that went well; each file counts."""
+        summary = flush_summary(written)
+        self.add("flushes", reason=reason, result="ok")
+        for name in ("files", "rows", "bytes_out"):
+            self.add(name, summary[name])
+
+    def text(self, prefix: str = "siltlake") -> str:
+        """All of it in the Prometheus text format."""
+        with self._lock:
+            totals, times = sorted(self.totals.items()), sorted(self.times.items())
+        shown = lambda labels: "{" + ",".join(f"{k}={json.dumps(v)}" for k, v in labels) + "}" if labels else ""
+        lines, seen = [], set()
+        for (name, labels), value in totals:
+            lines += [f"# TYPE {prefix}_{name} counter"] * (name not in seen) + [f"{prefix}_{name}{shown(labels)} {value}"]
+            seen.add(name)
+        if times:
+            lines.append(f"# TYPE {prefix}_stage_seconds histogram")
+        for stage, (counts, total) in times:
+            for bound, n in zip((*map(str, self.BOUNDS), "+Inf"), itertools.accumulate(counts)):
+                lines.append(f"{prefix}_stage_seconds_bucket{shown((('stage', stage), ('le', bound)))} {n}")
+            lines += [f"{prefix}_stage_seconds_sum{shown((('stage', stage),))} {total}", f"{prefix}_stage_seconds_count{shown((('stage', stage),))} {sum(counts)}"]
+        return "".join(x + "\n" for x in lines)
+
+    def serve(self, port: int) -> http.server.ThreadingHTTPServer:
+        """Answer GET /metrics in the background; close with shutdown()."""
+        registry = self
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_GET(self) -> None:
+                found = self.path.split("?")[0] in ("/", "/metrics")
+                body = registry.text().encode() if found else b""
+                self.send_response(200 if found else 404)
+                self.send_header("Content-Type", "text/plain; version=0.0.4")
+                self.send_header("Content-Length", str(len(body)))
+                self.end_headers()
+                self.wfile.write(body)
+
+            def log_message(self, *_) -> None:
+                pass
+
+        server = http.server.ThreadingHTTPServer(("", port), Handler)
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        return server
+
+
+METRICS = Registry()
+
+
 def flush_summary(written: list[dict]) -> dict[str, int]:
     return {"files": len(written), "rows": sum(w["rows"] for w in written), "bytes_out": sum(w["bytes"] for w in written)}
 
