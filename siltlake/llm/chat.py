@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltlake.llm.common import materialise
+from siltlake.functions.shared import reliable
+from siltlake.llm.common import discard, materialise
 
 P = (1 << 61) - 1
 BASES = (1_000_003 * 48_271 + 12_345, 6_364_136_223_846_793 % P)
@@ -101,16 +102,6 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     return dealt.mapInArrow(lambda it: _hashed(it, before), "conv_id long, n long, a long, b long")
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """The same partitions at each evaluation: Spark's own reliable checkpoint keeps partitions and their order."""
-    from siltlake.llm.common import shared_root
-
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint()
-
-
 def maximal(conversations: DataFrame) -> DataFrame:
     """conv_id of the conversations that no other one continues or, with a lesser id, repeats."""
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.md5(F.col("text").cast("string")), F.lit("")).alias("digest"))

@@ -2,51 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
-_local_root: list[str] = []
+from siltlake.functions.shared import discard, materialise, scratch, shared_root
 
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (tests in
-    local mode) is a temporary folder of this process used, and removed when it ends."""
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named.rstrip("/")
-    if not _local_root:
-        _local_root.append(tempfile.mkdtemp(prefix="siltlake-"))
-        atexit.register(shutil.rmtree, _local_root[0], ignore_errors=True)
-    return _local_root[0]
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df to a table in the shared folder and read it again: cuts the lineage, so that a lost
-    executor costs the tasks it ran and no more. The rows are those that the committed tasks wrote."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/siltlake/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._siltlake_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table of materialise() that nothing needs any more."""
-    path = getattr(df, "_siltlake_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+__all__ = ["bloom_join", "discard", "held_out", "materialise", "read_table", "scratch", "shared_root", "slices", "training_ids"]
 
 
 @contextlib.contextmanager
