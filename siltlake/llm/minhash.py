@@ -9,15 +9,22 @@ What follows the banding never forms all pairs of a bucket:
 
 1. Equal sets are one class; only its representative (the least doc_id) goes on.
 2. In each bucket every member is compared with the bucket's least member only (a star).
-3. Components of confirmed links, and groups of documents that share buckets, are labelled by
-   alternating large-star and small-star steps, as joins; nothing goes to the driver.
-4. Links that a star misses join different components of one group. Members of a group whose
-   documents aren't all one component yet are dealt by size class and a hash into blocks of bounded
-   size; pairs of blocks are compared exactly, without the pairs of blocks inside the group's
-   largest component and those whose sizes rule out the similarity. A block pair gives back a
-   spanning forest of its links at most.
+3. Components of the confirmed links are labelled by alternating large-star and small-star steps, as
+   joins, until nothing changes; nothing goes to the driver.
+4. Links that a star misses join different components within one bucket. Only buckets whose members
+   aren't all one component yet go on, one for each set of members. A bucket's members are dealt by size
+   class and a hash into blocks of bounded size; pairs of its blocks are compared exactly, without the
+   pairs of blocks inside the bucket's largest component and those whose sizes rule out the similarity.
+   A block pair gives back a spanning forest of its links at most.
 5. Components are merged over those links.
 
+Tables that meet a table of many rows for one key (a class of thousands of copies, a hub, a bucket) are
+written first, so that both sides of the join are plain exchanges, whose large partitions Spark splits
+at run time. All intermediate tables are deleted; what stays is the result, a narrow table.
+
+Sets of more than 2**universe_bits shingles share positions, and so signatures: that makes candidates
+which the exact comparison dismisses.
+
 A candidate is missed only if no band agrees: with 32 bands of 4, below 5e-8 at a similarity of 0.8.
 
 Defined results: null text, or text without words: empty set, linked with nothing, its own component,
@@ -200,7 +207,7 @@ def block_links(ids: list[int], comps: list[int], sides: np.ndarray, sets: list[
 
 
 def _blocks(rows: Iterator[pa.RecordBatch], p: MinHashParams) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (grp, lo, hi): each run of equal keys is one pair of blocks."""
+    """Rows sorted by (bucket, lo, hi): each run of equal keys is one pair of blocks."""
     key, held = None, []
 
     def done() -> list[tuple[int, int]]:
@@ -211,44 +218,45 @@ def _blocks(rows: Iterator[pa.RecordBatch], p: MinHashParams) -> Iterator[pa.Rec
 
     for b in slices(rows, 1024):
         out = []
-        for grp, lo, hi, side, i, comp, shingles in zip(*(c.to_pylist() for c in b.columns)):
-            if (grp, lo, hi) != key:
+        for bucket, lo, hi, side, i, comp, shingles in zip(*(c.to_pylist() for c in b.columns)):
+            if (bucket, lo, hi) != key:
                 out += done()
-                key, held = (grp, lo, hi), []
+                key, held = (bucket, lo, hi), []
             held.append((i, comp, side, shingles))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
     out = done()
     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """(kind, a, b) edges -> (kind, id, label): the least id of each component, for every id that has
-    an edge, separately in each kind. Alternating large-star and small-star steps until nothing
-    changes; each round's edges are written to the shared folder."""
+def components(edges: DataFrame) -> DataFrame:
+    """(a, b) edges -> a table (id, label): the least id of each component, for every id that has an edge.
+    Alternating large-star and small-star steps until nothing changes, a number of rounds that grows
+    with the logarithm of the edges at most squared; each round's edges are written to the shared folder."""
 
-    def stars(e: DataFrame) -> DataFrame:
-        both = e.select("kind", F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("kind", F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("kind", "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, ["kind", "u"]).select("kind", F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    def stars(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         # every edge now goes from a larger id (a) to a smaller one (b)
-        low = large.groupBy(F.col("kind"), F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        joined = large.select("kind", F.col("a").alias("u"), F.col("b").alias("v")).join(low, ["kind", "u"])
-        small = joined.select("kind", F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
-        return small.select("kind", "e.a", "e.b").where("a <> b").distinct()
+        low = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        joined = large.select(F.col("a").alias("u"), F.col("b").alias("v")).join(low, "u")
+        small = joined.select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("e"))
+        return small.select("e.a", "e.b").where("a <> b").distinct(), least
 
-    now = materialise(edges.select("kind", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    now = materialise(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     digest = None
-    for _ in range(max_rounds):
-        then, now = now, materialise(stars(now), "edges")
-        discard(then)
-        mark = tuple(now.agg(F.count("*"), F.expr("coalesce(bit_xor(xxhash64(kind, a, b)), 0)")).first())
+    while True:
+        after, least = stars(now)
+        then, now = now, materialise(after, "edges")
+        discard(then, least)
+        mark = tuple(now.agg(F.count("*"), F.expr("coalesce(bit_xor(xxhash64(a, b)), 0)")).first())
         if mark == digest:
             break
         digest = mark
-    else:
-        raise RuntimeError("components did not settle")
-    roots = now.select("kind", F.col("b").alias("id")).distinct().withColumn("label", F.col("id"))
-    return now.select("kind", F.col("a").alias("id"), F.col("b").alias("label")).union(roots)
+    roots = now.select(F.col("b").alias("id")).distinct().withColumn("label", F.col("id"))
+    out = materialise(now.select(F.col("a").alias("id"), F.col("b").alias("label")).union(roots), "labels")
+    discard(now)
+    return out
 
 
 def near_duplicates(documents: DataFrame, p: MinHashParams = MinHashParams()) -> DataFrame:
@@ -256,67 +264,77 @@ def near_duplicates(documents: DataFrame, p: MinHashParams = MinHashParams()) ->
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = materialise(docs.mapInArrow(lambda it: _signed(it, p), "doc_id long, n long, k1 long, k2 long, bands array<long>"), "signed")
     usable = signed.where("n > 0 and doc_id is not null")
-    classes = usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    classes = materialise(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
     # the bands travel with a class's first row only
     keyed = signed.select("doc_id", "n", F.when(F.expr("n > 0 and doc_id is not null"), F.col("k1")).alias("k1"), "k2", "bands")
     member = materialise(
         keyed.join(classes, ["k1", "k2"], "left").select("doc_id", "n", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")), "member")
-    discard(signed)
+    discard(signed, classes)
     buckets = member.where("bands is not null").select("rep", F.explode("bands").alias("bucket"))
-    first = buckets.groupBy("bucket").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head < tail").select("bucket", "head")
-    star = materialise(buckets.join(first, "bucket").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "star")
+    first = materialise(buckets.groupBy("bucket").agg(F.min("rep").alias("head"), F.max("rep").alias("tail")).where("head < tail").select("bucket", "head"), "first")
+    shared = materialise(buckets.join(first, "bucket").select("bucket", "rep", "head"), "shared")
+    discard(first)
+    star = materialise(shared.where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "star")
 
-    wanted = star.select(F.col("a").alias("doc_id")).union(star.select(F.col("b").alias("doc_id"))).distinct()
     # only the texts of candidates need to move; Spark's Bloom filter drops the others before the exchange
-    wanted = materialise(wanted, "wanted")
+    wanted = materialise(shared.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
     with bloom_join(docs.sparkSession):
-        sets = materialise(docs.join(wanted.where(f"doc_id >= {-(1 << 63)}"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, p), "id long, shingles binary").where("length(shingles) > 0"), "sets")
+        sets = materialise(docs.join(wanted.where(f"doc_id >= {-(1 << 63)}"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(lambda it: _sets(it, p), "id long, shingles binary").where("length(shingles) > 0").withColumn("n", F.expr("length(shingles) div 8")), "sets")
     discard(wanted)
-    pairs = star.join(sets.withColumnsRenamed({"id": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"id": "b", "shingles": "y"}), "b")
+    pairs = star.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     ratio = F.expr(f"100 * least(length(x), length(y)) >= {p.percent} * greatest(length(x), length(y))")
     links = materialise(pairs.where(ratio).select("a", "b", "x", "y").mapInArrow(lambda it: _confirmed(it, p), "a long, b long").distinct(), "links")
-
-    labelled = materialise(components(star.select(F.lit(0).alias("kind"), "a", "b").union(links.select(F.lit(1).alias("kind"), "a", "b"))), "labelled")
-    discard(star)
-    discard(links)
-    linked = labelled.where("kind = 1").select("id", F.col("label").alias("comp"))
-    grouped = labelled.where("kind = 0").select("id", F.col("label").alias("grp")).join(linked, "id", "left").select("id", "grp", F.coalesce("comp", "id").alias("comp"))
-    more = materialise(_missed(grouped, sets, p), "missed")
-    discard(sets)
-    merged = components(more.join(linked.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a", "left").join(linked.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left").select(F.lit(0).alias("kind"), F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    merged = merged.select(F.col("id").alias("comp"), F.col("label").alias("final"))
-    final = grouped.join(merged, "comp", "left").select(F.col("id").alias("rep"), F.coalesce("final", "comp").alias("component"))
-    return (
-        member.join(final, "rep", "left")
+    linked = components(links).withColumnRenamed("label", "comp")
+    discard(star, links)
+
+    more = _missed(shared, linked, sets, p)
+    of = lambda c: linked.select(F.col("id").alias(c), F.col("comp").alias("c" + c))
+    between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = components(between).select(F.col("id").alias("comp"), F.col("label").alias("final"))
+    # an id of `merged` is a component or a document that no star links
+    final = linked.join(merged, "comp", "left").select(F.col("id").alias("rep"), F.coalesce("final", "comp").alias("component"))
+    alone = merged.join(linked, merged["comp"] == linked["id"], "left_anti").select(F.col("comp").alias("rep"), F.col("final").alias("component"))
+    out = (
+        member.select("doc_id", "n", "rep").join(final.union(alone), "rep", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    out = materialise(out, "near-duplicates")
+    discard(member, shared, sets, linked, more, merged)
+    return out
 
 
-def _missed(grouped: DataFrame, sets: DataFrame, p: MinHashParams) -> DataFrame:
-    """(a, b): links between components of one group, at least a spanning set of them."""
-    parts = grouped.groupBy("grp", "comp").agg(F.count("*").alias("size"))
-    # a group of two documents has one pair, and its star compared it
-    groups = parts.groupBy("grp").agg(F.count("*").alias("comps"), F.sum("size").alias("docs"), F.max(F.struct("size", "comp"))["comp"].alias("main")).where("comps > 1 and docs > 2").select("grp", "main")
+def _missed(shared: DataFrame, linked: DataFrame, sets: DataFrame, p: MinHashParams) -> DataFrame:
+    """A table (a, b): links between components that meet in a bucket, at least a spanning set of them."""
+    rows = shared.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", F.col("rep").alias("id"), F.coalesce("comp", "rep").alias("comp"))
+    rows = materialise(rows, "in-buckets")
+    # the star compared a bucket of two; buckets of the same members are one
+    mixed = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.xxhash64(F.lit(1), "id").cast("decimal(20,0)")).alias("s"))
+    mixed = materialise(mixed.where("low < high and size > 2").groupBy("size", "x", "s").agg(F.min("bucket").alias("bucket")).select("bucket"), "mixed")
+    met = materialise(rows.join(mixed, "bucket", "left_semi"), "unsettled")
+    parts = met.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    main = materialise(parts.groupBy("bucket").agg(F.max(F.struct("size", "comp"))["comp"].alias("main")), "main")
     # sizes within the similarity of each other lie in the same or the next class
     klass = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(101.0 / p.percent))).cast("int")
-    rows = materialise(
-        grouped.join(groups, "grp").join(sets, "id").withColumn("n", F.expr("length(shingles) div 8"))
-        .select("grp", "id", "comp", (F.col("comp") == F.col("main")).cast("int").alias("main"), "n", klass.alias("klass"), "shingles"), "unsettled")
-    strata = rows.groupBy("grp", "main", "klass").agg(F.count("*").alias("size"), F.max("n").alias("longest"))
+    own = met.join(main, "bucket").join(sets.select("id", "n"), "id").select("bucket", "id", "comp", (F.col("comp") == F.col("main")).cast("int").alias("main"), "n", klass.alias("klass"))
+    own = materialise(own, "strewn")
+    strata = own.groupBy("bucket", "main", "klass").agg(F.count("*").alias("size"), F.max("n").alias("longest"))
     cap = F.greatest(F.lit(1), F.least(F.lit(p.block_rows), F.floor(F.lit(p.block_shingles) / F.col("longest"))))
-    strata = materialise(strata.select("grp", "main", "klass", F.ceil(F.col("size") / cap).cast("int").alias("blocks")), "strata")
-    own = rows.join(strata, ["grp", "main", "klass"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("long"))
+    strata = materialise(strata.select("bucket", "main", "klass", F.ceil(F.col("size") / cap).cast("int").alias("blocks")), "strata")
     code = lambda main, k, block: (F.col(main).cast("long") * 4096 + F.col(k)) * (1 << 40) + F.col(block)
-    other = strata.select("grp", F.col("main").alias("main2"), F.col("klass").alias("klass2"), F.col("blocks").alias("blocks2"))
-    met = (
-        own.join(other, "grp").where("main + main2 < 2 and abs(klass - klass2) <= 1")
+    other = strata.select("bucket", F.col("main").alias("main2"), F.col("klass").alias("klass2"), F.col("blocks").alias("blocks2"))
+    placed = materialise(own.join(strata, ["bucket", "main", "klass"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("long")).drop("blocks"), "placed")
+    asked = (
+        placed.join(other, "bucket").where("main + main2 < 2 and abs(klass - klass2) <= 1")
         .withColumn("block2", F.explode(F.sequence(F.lit(0), F.col("blocks2") - 1)))
-        .select("grp", code("main", "klass", "block").alias("mine"), code("main2", "klass2", "block2").alias("theirs"), "id", "comp", "shingles")
-        .select("grp", F.least("mine", "theirs").alias("lo"), F.greatest("mine", "theirs").alias("hi"), (F.col("mine") > F.col("theirs")).cast("int").alias("side"), "id", "comp", "shingles")
+        .select("bucket", code("main", "klass", "block").alias("mine"), code("main2", "klass2", "block2").alias("theirs"), "id", "n", "comp")
+        .select("bucket", F.least("mine", "theirs").alias("lo"), F.greatest("mine", "theirs").alias("hi"), (F.col("mine") > F.col("theirs")).cast("int").alias("side"), "id", "n", "comp")
     )
-    met = met.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi")
-    return met.mapInArrow(lambda it: _blocks(it, p), "a long, b long")
+    full = asked.join(sets, ["id", "n"]).select("bucket", "lo", "hi", "side", "id", "comp", "shingles")
+    full = full.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    out = materialise(full.mapInArrow(lambda it: _blocks(it, p), "a long, b long"), "missed")
+    discard(rows, mixed, met, main, own, strata, placed)
+    return out
 
 
 #: The same for sets of two words, exactly: a set of n shingles and one linked with it share one of the
