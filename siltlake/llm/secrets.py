@@ -38,7 +38,7 @@ from dataclasses import dataclass
 import ahocorasick
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltlake.llm.common import slices
@@ -245,7 +245,11 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def corpus_dictionary(documents: DataFrame, p: SecretParams = SecretParams()) -> bytes:
     """The compressor's dictionary for these documents: CODE, and the words that most documents hold."""
     counts = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(p.dictionary_words).select("word").collect()
+    top = counts.where("n > 1")
+    for groups in (1024, 16):  # what is left of a group is bounded, so no task and not the driver gets more with more words
+        rank = F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(groups))).orderBy(F.desc("n"), "word"))
+        top = top.withColumn("rank", rank).where(F.col("rank") <= p.dictionary_words).drop("rank")
+    top = top.orderBy(F.desc("n"), "word").limit(p.dictionary_words).select("word").collect()
     return "\n".join([CODE.decode(), *(r.word for r in reversed(top))]).encode()
 
 
