@@ -55,6 +55,10 @@ class Memory:
             self.new, self.old = {}, self.new
 
 
+#: Longer chunks are encoded anew each time, so that a memory's bytes are bounded with its entries.
+REMEMBERED = 256
+
+
 class WordTokenizer:
     """Ids of whole texts, through a memory of the ids of their words.
 
@@ -133,8 +137,12 @@ class WordTokenizer:
             known = self.chunks.new
             found = list(map(known.get, words))
             if None in found:
-                self._learn({w for w, x in zip(words, found) if x is None})
+                new = {w for w, x in zip(words, found) if x is None}
+                self._learn(new)
                 found = list(map(known.__getitem__, words))
+                for w in new:
+                    if len(w) > REMEMBERED:
+                        del known[w]
             out.append(b"".join(found))
         return out
 

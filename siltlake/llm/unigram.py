@@ -11,7 +11,8 @@ pieces; the law is a parameter and nothing is trained.
 
 No piece holds a marker after another character, so a best path can be cut before every run of
 markers: texts are encoded by pre-token (a run of markers and the run of other characters after it)
-and the ids of pre-tokens are remembered, as many as `bound` at once.
+and the ids of pre-tokens are remembered, as many as `bound` at once and none of more than `longest`
+characters, so that the memory's bytes are bounded too.
 
 Token counts need no path. The distinct pre-tokens of a batch are gone through in sorted order,
 which walks their trie depth first: the forward scores, the token counts and the pieces under way at
@@ -19,7 +20,9 @@ each depth stay on a stack, so a prefix that pre-tokens share is computed once;
 the terminals.
 
 Defined results: null and empty text: no ids, count 0, decodes to the empty text. A marker character
-in the text decodes to a space. All rows are kept as they come; nothing is shuffled.
+in the text decodes to a space. Null or no ids decode to the empty text, control pieces to nothing, bytes
+that are no UTF-8 and ids that are null or outside the vocabulary to U+FFFD. All rows are kept as they
+come; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -130,9 +133,9 @@ def zipf(ranks: list[int]) -> list[float]:
 
 
 class Unigram:
-    def __init__(self, pieces: list[str], scores: dict[int, float], bytes_at: list[int], unknown: float = 10.0, bound: int = 300_000):
+    def __init__(self, pieces: list[str], scores: dict[int, float], bytes_at: list[int], unknown: float = 10.0, bound: int = 300_000, longest: int = 64):
         """pieces: by id; scores: of the ids that text may become; bytes_at: the ids of the 256 bytes."""
-        self.scores, self.bytes_at, self.bound = scores, bytes_at, bound
+        self.scores, self.bytes_at, self.bound, self.longest = scores, bytes_at, bound, longest
         if any(MARK in pieces[i].lstrip(MARK) for i in scores):
             raise ValueError("a piece holds a marker inside; texts can't be cut into pre-tokens")
         self.trie = DoubleArray((pieces[i], i) for i in scores)
@@ -217,23 +220,38 @@ class Unigram:
             words = self.pretokens(text)
             found = list(map(known.get, words))
             if None in found:
-                for w in {w for w, x in zip(words, found) if x is None}:
+                new = {w for w, x in zip(words, found) if x is None}
+                for w in new:
                     known[w] = np.array(self.viterbi(w), "<i4").tobytes()
                 found = list(map(known.__getitem__, words))
+                self._forget_long(known, new)
             out.append(b"".join(found))
         return out
 
+    def _forget_long(self, memory: dict, words: Iterable[str]) -> None:
+        for w in words:
+            if len(w) > self.longest:
+                del memory[w]
+
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
+    def decode_any(self, ids: Iterable[int | None] | None) -> str:
+        """decode() of ids that may be none of the vocabulary's."""
+        n = len(self.text_of)
+        text = b"".join(self.text_of[i] if i is not None and 0 <= i < n else b"\xef\xbf\xbd" for i in ids or ()).decode("utf-8", "replace")
+        return text[1:] if text[:1] == " " else text
+
     def counts(self, texts: list[str]) -> list[int]:
         if len(self.counted) > self.bound:
             self.counted = {}
         split = [self.pretokens(t) for t in texts]
         new = set().union(*split) - self.counted.keys() if split else set()
         self.counted.update(self.forward_counts(new))
-        return [sum(map(self.counted.__getitem__, words)) for words in split]
+        out = [sum(map(self.counted.__getitem__, words)) for words in split]
+        self._forget_long(self.counted, new)
+        return out
 
 
 @functools.lru_cache(1)
@@ -246,7 +264,7 @@ def load(path: str) -> Unigram:
     normal = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
     ranks = {i: r for r, i in enumerate(sorted(normal, key=lambda i: (-sp.get_score(i), i)))}
     scores = dict(zip(normal, zipf([ranks[i] for i in normal])))
-    return Unigram([sp.id_to_piece(i) for i in range(n)], scores, [sp.piece_to_id(f"<0x{v:02X}>") for v in range(256)])
+    return Unigram(["" if sp.is_control(i) else sp.id_to_piece(i) for i in range(n)], scores, [sp.piece_to_id(f"<0x{v:02X}>") for v in range(256)])
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -268,6 +286,12 @@ def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
 
 
+def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    model = load(path)
+    for b in slices(batches, 128):
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([model.decode_any(x) for x in b.column(1).to_pylist()], pa.string())], ["doc_id", "text"])
+
+
 def _docs(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -278,6 +302,13 @@ def encode_documents(documents: DataFrame, path: str | None = None) -> DataFrame
     return _docs(documents).mapInArrow(lambda it: _encoded(it, path), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
+def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, text: of the ids that encode_documents gives, or any others."""
+    path = path or public_tokenizers.path("piece_bpe_32k.model")
+    rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids"))
+    return rows.mapInArrow(lambda it: _decoded(it, path), "doc_id long, text string")
+
+
 def count_tokens(documents: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens: as many as encode_documents gives."""
     path = path or public_tokenizers.path("piece_bpe_32k.model")
