@@ -7,9 +7,12 @@ model over binned text statistics minimises the non-negative unbiased risk
 
 by full-batch Adam, with the sigmoid loss, whose bound keeps confident rows from ruling the bracket;
 where the bracket is negative its gradient is ascended instead, which keeps the model from
-fitting the unlabelled positives as negatives. The class prior is the share of label 1
-among the labelled training rows, smoothed by one row of each. Labelled negatives count for the
-prior only. The score is the logistic function of g.
+fitting the unlabelled positives as negatives. The score is the logistic function of g.
+
+The class prior is estimated from positives and unlabelled rows alone, since labels needn't be dealt like
+web text: for each half of the rows (by a hash of doc_id) a first model learns the other half with a prior
+of 1/2 and scores it, and best-bin estimation (Garg et al. 2021) compares the shares of unlabelled rows and
+of positives above each score. It supposes that some scores are reached by hardly any poor text. Labelled negatives are not learned from.
 
 Training takes at most `bound` labelled rows outside the held-out fifth, those with the least hash of
 doc_id, and every unlabelled row there. Bin edges are quantiles of counted cells (values cut to
@@ -19,8 +22,8 @@ however the rows are dealt. Cell counts and the model come to the driver, and no
 over every row and whole texts, without a shuffle.
 
 Defined results: null text is an empty text; empty texts get a score from their statistics like any
-other. Without trusted positives or without unlabelled rows every score is the prior (0.5 without
-labels). Null doc_ids are scored, and count as not held out. Repeated rows are scored each.
+other. Without trusted positives or without unlabelled rows every score is the share of label 1 among
+the labelled rows, smoothed by one row of each (0.5 without labels). Null doc_ids are scored, and count as not held out. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import secrets
 import socket
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,8 @@ CELL_BITS = 10
 UNIT = 2.0**32  # summands are multiples of its inverse
 CHUNK = 1 << 16
 WAIT_S = 600  # for another task of the descent
+SCORE_CELLS = 1024  # in which rows are counted by score
+LEAST_PRIOR = 0.01
 
 
 @dataclass(frozen=True)
@@ -52,6 +57,7 @@ class QualityParams:
     bound: int = 8000
     bins: int = 14
     steps: int = 600
+    prior_steps: int = 400
     rate: float = 0.05
     ridge: float = 1e-4
 
@@ -119,7 +125,8 @@ class QualityModel:
     def width(self) -> int:
         return self.edges.shape[1] + 1
 
-    def learned(self, theta: np.ndarray) -> None:
+    def learned(self, prior: float, theta: np.ndarray) -> None:
+        self.prior = prior
         self.weights, self.bias = theta[:-1].reshape(N_STATS, self.width), float(theta[-1])
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -137,20 +144,29 @@ def _edges(cells: list[tuple[np.ndarray, np.ndarray]], p: QualityParams) -> np.n
     return np.stack([c[np.searchsorted(b, at * (b[-1] - 1), side="right")] for (c, _), b in zip(cells, below)])
 
 
-def _sums(rows: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """Of rows of bins: their number, and in units the sum of sigma(g) and the sums of its slope by parameter."""
+def _sigmas(rows: np.ndarray, theta: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of rows of bins, by chunks: the parameters that each adds up, and sigma(g)."""
     at = np.arange(N_STATS) * (len(theta) // N_STATS)
-    out = np.zeros(len(theta) + 2, np.int64)
     for low in range(0, len(rows), CHUNK):
         x = rows[low : low + CHUNK] + at
-        s = 1 / (1 + np.exp(-np.clip(theta[x].sum(axis=1) + theta[-1], -30, 30)))
+        yield x, 1 / (1 + np.exp(-np.clip(theta[x].sum(axis=1) + theta[-1], -30, 30)))
+
+
+def _sums(rows: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Of rows of bins: their number, and in units the sum of sigma(g) and the sums of its slope by parameter."""
+    out = np.zeros(len(theta) + 2, np.int64)
+    for x, s in _sigmas(rows, theta):
         d = np.rint(s * (1 - s) * UNIT)  # sums of a chunk are exact in doubles
         by_bin = np.bincount(x.ravel(), np.repeat(d, N_STATS), len(theta) - 1)
         out += np.concatenate([[len(x), np.rint(s * UNIT).sum()], by_bin, [d.sum()]]).astype(np.int64)
     return out
 
 
-def _descend(positive: np.ndarray, unlabelled: np.ndarray, width: int, prior: float, p: QualityParams, total: Callable = lambda sums: sums) -> np.ndarray:
+def _alone(sums: np.ndarray) -> np.ndarray:
+    return sums
+
+
+def _descend(positive: np.ndarray, unlabelled: np.ndarray, width: int, prior: float, p: QualityParams, total: Callable = _alone) -> np.ndarray:
     """The parameters, from rows of bins. total: adds up what the tasks that hold rows have."""
     theta = np.zeros(N_STATS * width + 1)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -166,12 +182,48 @@ def _descend(positive: np.ndarray, unlabelled: np.ndarray, width: int, prior: fl
     return theta
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, p: QualityParams = QualityParams()) -> QualityModel:
-    model = QualityModel(prior)
+def _by_score(rows: np.ndarray, theta: np.ndarray) -> np.ndarray:
+    """Of rows of bins: how many score in each of SCORE_CELLS equal steps."""
+    out = np.zeros(SCORE_CELLS, np.int64)
+    for _, s in _sigmas(rows, theta):
+        out += np.bincount((s * SCORE_CELLS).astype(int), minlength=SCORE_CELLS)
+    return out
+
+
+def best_bin_prior(of_p: np.ndarray, of_u: np.ndarray) -> float:
+    """The share of positives among unlabelled rows, from the counts of both by score. Above a score that
+    poor text does not reach, the share of unlabelled rows is the prior times that of positives; the score
+    taken is the one with the least upper confidence bound (0.9) of that ratio. Kept off 0 and 1."""
+    p, u = (np.cumsum(n[::-1]) / n.sum() for n in (of_p, of_u))
+    slack = 1.01 * sum(np.sqrt(np.log(4 / 0.1) / (2 * n.sum())) for n in (of_p, of_u))
+    p, u = p[p > 0], u[p > 0]
+    at = np.argmin((u + slack) / p)
+    return float(np.clip(u[at] / p[at], LEAST_PRIOR, 1 - LEAST_PRIOR))
+
+
+def _learn(positive: list[np.ndarray], unlabelled: list[np.ndarray], width: int, prior: float | None, p: QualityParams, total: Callable = _alone) -> tuple[float, np.ndarray]:
+    """The prior, estimated unless it is given, and the parameters, from the two halves of the rows of bins."""
+    every = np.concatenate(positive), np.concatenate(unlabelled)
+    if prior is None:
+        halves = list(zip(positive, unlabelled))
+        if not total(np.array([[len(x) for x in half] for half in halves], np.int64)).all():
+            halves = [every, every]
+        counts = np.zeros((2, SCORE_CELLS), np.int64)
+        for learned, other in (halves, halves[::-1]):
+            theta = _descend(*learned, width, 0.5, replace(p, steps=p.prior_steps), total)
+            counts = counts + total(np.stack([_by_score(x, theta) for x in other]))
+        prior = best_bin_prior(*counts)
+    return prior, _descend(*every, width, prior, p, total)
+
+
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None, p: QualityParams = QualityParams()) -> QualityModel:
+    """From rows of statistics; without a prior, it is estimated, every other row being of the first half."""
+    model = QualityModel(0.5 if prior is None else prior)
     if not len(positive) or not len(unlabelled):
         return model
     model.edges = _edges(list(_cells(np.concatenate([positive, unlabelled]))), p)
-    model.learned(_descend(model.binned(positive), model.binned(unlabelled), model.width, prior, p))
+    halves = ([x[0::2], x[1::2]] for x in (model.binned(positive), model.binned(unlabelled)))
+    model.learned(*_learn(*halves, model.width, prior, p))
     return model
 
 
@@ -230,9 +282,9 @@ def _summing(task: BarrierTaskContext) -> Iterator[Callable]:
         yield total
 
 
-def _fit_rows(rows: DataFrame, n: int, prior: float, p: QualityParams) -> QualityModel:
-    """fit_nnpu over a table of n rows: y (1 or -1) and x."""
-    model = QualityModel(prior)
+def _fit_rows(rows: DataFrame, n: int, prior: float | None, p: QualityParams) -> QualityModel:
+    """fit_nnpu over a table of n rows: y (1 or -1), x, and unless the prior is given, later (of the second half)."""
+    model = QualityModel(0.5 if prior is None else prior)
     counts = rows.select("x").mapInArrow(_cell_rows, "stat int, cell double, n long").groupBy("stat", "cell").agg(F.sum("n").alias("n")).toArrow()
     stat, cell, number = (counts.column(c).to_numpy() for c in ("stat", "cell", "n"))
     order = np.lexsort((cell, stat))
@@ -243,25 +295,26 @@ def _fit_rows(rows: DataFrame, n: int, prior: float, p: QualityParams) -> Qualit
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = model.binned(_matrix(b.column(1))).astype(kind)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary())], ["y", "bins"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary()), b.column(2)], ["y", "bins", "later"])
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {1: [], -1: []}
+        held = {(k, later): [np.zeros((0, N_STATS), kind)] for k in (1, -1) for later in (False, True)}
         for b in batches:
             x = np.frombuffer(b"".join(b.column(1).to_pylist()), kind).reshape(-1, N_STATS)
-            y = b.column(0).to_numpy()
-            for k in held:
-                held[k].append(x[y == k])
-        positive, unlabelled = (np.concatenate([np.zeros((0, N_STATS), kind), *held.pop(k)]) for k in (1, -1))
+            y, of_second = b.column(0).to_numpy(), b.column(2).to_numpy(zero_copy_only=False)
+            for k, later in held:
+                held[k, later].append(x[(y == k) & (of_second == later)])
+        positive, unlabelled = ([np.concatenate(held.pop((k, later))) for later in (False, True)] for k in (1, -1))
         task = BarrierTaskContext.get()
         with _summing(task) as total:
-            theta = _descend(positive, unlabelled, width, prior, p, total)
+            found, theta = _learn(positive, unlabelled, width, prior, p, total)
         if task.partitionId() == 0:
-            yield pa.RecordBatch.from_arrays([pa.array([theta.tolist()], pa.list_(pa.float64()))], ["theta"])
+            yield pa.RecordBatch.from_arrays([pa.array([found]), pa.array([theta.tolist()], pa.list_(pa.float64()))], ["prior", "theta"])
 
     tasks = min(_slots(rows.sparkSession), max(1, n // 4096))
-    found = rows.select("y", "x").mapInArrow(bins, "y int, bins binary").repartition(tasks).mapInArrow(descend, "theta array<double>", barrier=True).collect()
-    model.learned(np.array(found[0].theta))
+    later = F.col("later") if "later" in rows.columns else F.lit(False)
+    found = rows.select("y", "x", later.alias("later")).mapInArrow(bins, "y int, bins binary, later boolean").repartition(tasks).mapInArrow(descend, "prior double, theta array<double>", barrier=True).collect()
+    model.learned(found[0].prior, np.array(found[0].theta))
     return model
 
 
@@ -276,11 +329,12 @@ def train(documents: DataFrame, labels: DataFrame, p: QualityParams = QualityPar
     # null where the row is labelled but not chosen
     marks = known.join(chosen, "doc_id", "left").select("doc_id", "y", F.lit(True).alias("known"))
     joined = docs.mapInArrow(_stats_of, "doc_id long, x array<double>").join(marks, "doc_id", "left")
-    rows = materialise(joined.select(F.when(F.col("known"), F.col("y")).otherwise(-1).alias("y"), "x").where("y is not null"), "quality-statistics")
+    later = (F.xxhash64(F.lit("half"), "doc_id") % 2 != 0).alias("later")
+    rows = materialise(joined.select(F.when(F.col("known"), F.col("y")).otherwise(-1).alias("y"), "x", later).where("y is not null"), "quality-statistics")
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     positive, negative, free = (n.get(y, 0) for y in (1, 0, -1))
-    prior = (positive + 1) / (positive + negative + 2)
-    model = _fit_rows(rows.where("y <> 0"), positive + free, prior, p) if positive and free else QualityModel(prior)
+    share = (positive + 1) / (positive + negative + 2)
+    model = _fit_rows(rows.where("y <> 0"), positive + free, None, p) if positive and free else QualityModel(share)
     discard(rows)
     return model
 

@@ -1,0 +1,183 @@
+"""op5 against plain loops: statistics, bins, risk and gradient, descent, and a whole training; and the estimated prior."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltlake.llm import quality
+from siltlake.llm.common import read_table
+
+STOPS = set(".,;:'\"-?")
+
+
+def plain_statistics(text):
+    raw = (text or "").encode()
+    chars = [chr(b) for b in raw]
+    kind = Counter(
+        "lower" if "a" <= c <= "z" else "upper" if "A" <= c <= "Z" else "digit" if "0" <= c <= "9" else "wide" if ord(c) > 127
+        else "space" if c in " \t\n\r\x0b\x0c" else "stop" if c in STOPS else "symbol" for c in chars)
+    words = raw.split()
+    bare = [w.strip(b".,;:'\"-?!()|") for w in words]
+    n, w = max(1, len(raw)), max(1, len(words))
+    lines = [x for x in raw.split(b"\n") if x.strip()]
+    pairs = {(bare[i], bare[i + 1]) for i in range(len(bare) - 1)}
+    twice = sum(bare[i] == bare[i + 1] for i in range(len(bare) - 1))
+    return [
+        math.log(1 + w), n / w, len(set(bare)) / w, len(pairs) / max(1, len(bare) - 1), twice / w, kind["upper"] / max(1, kind["upper"] + kind["lower"]),
+        kind["digit"] / n, kind["stop"] / n, kind["symbol"] / n, kind["wide"] / n, kind["space"] / n, chars.count("!") / w, chars.count("|") / w,
+        sum(not b for b in bare) / w, len(set(lines)) / max(1, len(lines)), math.log(1 + w / max(1, len(lines))), len(zlib.compress(raw, 1)) / (n + 20)]
+
+
+def cut(value):
+    m, e = math.frexp(value)
+    return math.trunc(m * 2 ** (quality.CELL_BITS + 1)) * 2.0 ** (e - quality.CELL_BITS - 1)
+
+
+def plain_bins(rows, p):
+    shares = sorted([k / p.bins for k in range(1, p.bins)] + [0.01, 0.03, 0.97, 0.99])
+    edges = []
+    for j in range(quality.N_STATS):
+        order = sorted(cut(r[j]) for r in rows)
+        edges.append([order[math.floor(a * (len(order) - 1))] for a in shares])
+    return edges, [[sum(e <= v for e in edges[j]) for j, v in enumerate(r)] for r in rows]
+
+
+def sigma(theta, bins, width):
+    g = theta[-1] + sum(theta[j * width + b] for j, b in enumerate(bins))
+    return 1 / (1 + math.exp(-g))
+
+
+def parts_of_risk(theta, positive, unlabelled, width, prior):
+    """prior * E_pos[loss(+g)] and the bracket, with the sigmoid loss."""
+    of_p = sum(sigma(theta, b, width) for b in positive) / len(positive)
+    of_u = sum(sigma(theta, b, width) for b in unlabelled) / len(unlabelled)
+    return prior * (1 - of_p), of_u - prior * of_p
+
+
+def plain_gradient(theta, positive, unlabelled, width, prior):
+    def mean_slope(rows):
+        out = [0.0] * len(theta)
+        for bins in rows:
+            s = sigma(theta, bins, width)
+            for k in [j * width + b for j, b in enumerate(bins)] + [len(theta) - 1]:
+                out[k] += s * (1 - s) / len(rows)
+        return out
+
+    of_p, of_u = mean_slope(positive), mean_slope(unlabelled)
+    if parts_of_risk(theta, positive, unlabelled, width, prior)[1] >= 0:
+        return [u - 2 * prior * x for x, u in zip(of_p, of_u)]
+    return [prior * x - u for x, u in zip(of_p, of_u)]
+
+
+def plain_descent(positive, unlabelled, width, prior, steps, p):
+    theta = [0.0] * (quality.N_STATS * width + 1)
+    m, v = list(theta), list(theta)
+    for t in range(1, steps + 1):
+        grad = plain_gradient(theta, positive, unlabelled, width, prior)
+        for k in range(len(theta)):
+            g = grad[k] + (p.ridge * theta[k] if k < len(theta) - 1 else 0)
+            m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g * g
+            theta[k] -= p.rate * (m[k] / (1 - 0.9**t)) / (math.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)
+    return theta
+
+
+def plain_prior(positive, unlabelled):
+    """Best-bin estimation over scores cut to cells."""
+    cell = lambda s: math.floor(s * quality.SCORE_CELLS)
+    positive, unlabelled = [cell(s) for s in positive], [cell(s) for s in unlabelled]
+    slack = 1.01 * sum(math.sqrt(math.log(40) / (2 * len(x))) for x in (positive, unlabelled))
+    best = None
+    for low in range(quality.SCORE_CELLS - 1, -1, -1):
+        p = sum(c >= low for c in positive) / len(positive)
+        u = sum(c >= low for c in unlabelled) / len(unlabelled)
+        if p and (best is None or (u + slack) / p < best[0]):
+            best = ((u + slack) / p, u / p)
+    return min(max(best[1], 0.01), 0.99)
+
+
+def test_statistics(spark):
+    texts = [r.text for r in read_table(spark, "/root/testdata/sf0.001", "documents").select("text").collect()]
+    for text in [*texts, None, "", "a", "  \n\n ", "!!! ||| !", "Grüße, ÄÖ 12", "x " * 5000, "one one two\none one two\n"]:
+        assert np.allclose(quality.statistics(text), plain_statistics(text), rtol=1e-12)
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.8])
+def test_gradient_and_descent(prior):
+    rng = np.random.default_rng(3)
+    width, p = 4, quality.QualityParams(steps=25)
+    positive, unlabelled = rng.integers(1, 4, (30, quality.N_STATS)), rng.integers(0, 4, (50, quality.N_STATS))
+    args = positive.tolist(), unlabelled.tolist(), width, prior
+    # the loops' gradient is that of the loops' risk, or where the bracket is negative, of the bracket, ascended
+    seen = set()
+    for scale in (0.0, 0.2, 1.0, 3.0):
+        theta = (rng.normal(0, 0.3, quality.N_STATS * width + 1) + np.where(np.arange(quality.N_STATS * width + 1) % width, 0.3, -1.5)) * scale
+        below = parts_of_risk(theta, *args)[1] < 0
+        seen.add(below)
+        target = (lambda t: -parts_of_risk(t, *args)[1]) if below else (lambda t: sum(parts_of_risk(t, *args)))
+        grad = plain_gradient(theta, *args)
+        for k in (0, 5, 33, len(theta) - 1):
+            step = np.zeros(len(theta))
+            step[k] = 1e-5
+            assert abs((target(theta + step) - target(theta - step)) / 2e-5 - grad[k]) < 1e-7
+    assert prior < 0.5 or seen == {True, False}
+    assert np.allclose(quality._descend(positive, unlabelled, width, prior, p), plain_descent(*args, p.steps, p), atol=1e-5)
+
+
+def test_a_whole_training(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").orderBy("doc_id")
+    labels = read_table(spark, "/root/testdata/sf0.001", "labels")
+    p = quality.QualityParams(steps=12, prior_steps=8)
+    model = quality.train(docs, labels, p)
+
+    label = {r.doc_id: r.quality for r in labels.collect()}
+    texts = [(r.doc_id, r.text) for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    halves = {r.doc_id: r.half != 0 for r in docs.select("doc_id", (F.xxhash64(F.lit("half"), "doc_id") % 2).alias("half")).collect()}
+    rows = [(label.get(i), plain_statistics(t), halves[i]) for i, t in texts if label.get(i) != 0]
+    edges, bins = plain_bins([x for _, x, _ in rows], p)
+    positive, unlabelled = ([b for (y, _, _), b in zip(rows, bins) if (y == 1) == k] for k in (True, False))
+    assert len(positive) > 5 and len(unlabelled) > 20
+    width = len(edges[0]) + 1
+    first, second = ([[b for (y, _, half), b in zip(rows, bins) if half == later and (y == 1) == k] for k in (True, False)] for later in (False, True))
+    scores = [[], []]
+    for learned, other in ((first, second), (second, first)):
+        guess = plain_descent(*learned, width, 0.5, p.prior_steps, p)
+        for into, x in zip(scores, other):
+            into += [sigma(guess, b, width) for b in x]
+    prior = plain_prior(*scores)
+    theta = plain_descent(positive, unlabelled, width, prior, p.steps, p)
+
+    assert np.allclose(model.edges, edges, rtol=1e-12) and math.isclose(model.prior, prior, abs_tol=1e-9)
+    assert np.allclose(np.append(model.weights.ravel(), model.bias), theta, atol=1e-5)
+    scores = {r.doc_id: r.score for r in quality.score_documents(docs, model).collect()}
+    for (i, t), b in zip([x for x in texts if label.get(x[0]) != 0], bins):
+        assert abs(scores[i] - sigma(theta, b, width)) < 1e-4
+
+
+@pytest.mark.parametrize("prior", [0.25, 0.5, 0.75, 0.95])
+def test_prior_from_positives_and_unlabelled_rows(prior):
+    rng = np.random.default_rng(5)
+    shift = np.zeros(quality.N_STATS)
+    shift[[2, 7, 9]] = 3
+    n = 4000
+    good = rng.normal(0, 1, (1500, quality.N_STATS))
+    web = rng.normal(0, 1, (n, quality.N_STATS)) + shift * (np.arange(n) >= prior * n)[:, None]
+    assert abs(quality.fit_nnpu(good, web, None, quality.QualityParams(steps=5)).prior - prior) < 0.05
+
+
+def test_prior_does_not_hang_on_how_labels_were_dealt(spark):
+    """Four of five labelled rows are poor, one of five rows of the web is."""
+    poor = F.col("doc_id") % 5 == 0
+    text = F.when(poor, F.concat(F.lit("!!! | $$ "), F.col("doc_id"), F.lit(" || ## !!"))).otherwise(F.concat(F.lit("the river runs past house "), F.col("doc_id"), F.lit(" and on to the sea, slowly.")))
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(100))  # the positives must look like the web's good rows
+    labelled = F.when(poor, dealt < 50).otherwise(dealt < 8)
+    labels = docs.where(labelled).select("doc_id", F.when(poor, 0).otherwise(1).alias("quality"))
+    shares = labels.agg(F.avg("quality")).first()[0]
+    # the web without the labelled rows
+    rest = docs.where(~labelled).agg(F.avg(F.when(poor, 0.0).otherwise(1.0))).first()[0]
+    model = quality.train(docs, labels, quality.QualityParams(steps=50))
+    assert shares < 0.4 and abs(model.prior - rest) < 0.06
