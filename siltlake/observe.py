@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from siltlake.sinks.files import STAGES
+
 log = logging.getLogger(__name__)
 LEVELS = ("trace", "debug", "info", "warn", "error")
 
@@ -67,11 +69,13 @@ class Registry:
         try:
             yield
         finally:
-            took = time.monotonic() - began
-            with self._lock:
-                counts, total = self.times.get(stage, ([0] * (len(self.BOUNDS) + 1), 0.0))
-                counts[bisect.bisect_left(self.BOUNDS, took)] += 1
-                self.times[stage] = (counts, total + took)
+            self.took(stage, time.monotonic() - began)
+
+    def took(self, stage: str, seconds: float) -> None:
+        with self._lock:
+            counts, total = self.times.get(stage, ([0] * (len(self.BOUNDS) + 1), 0.0))
+            counts[bisect.bisect_left(self.BOUNDS, seconds)] += 1
+            self.times[stage] = (counts, total + seconds)
 
     def flushed(self, written: list[dict], reason: str) -> None:
         """A flush that went well; each file counts."""
@@ -79,6 +83,10 @@ class Registry:
         self.add("flushes", reason=reason, result="ok")
         for name in ("files", "rows", "bytes_out"):
             self.add(name, summary[name])
+        for w in written:
+            for stage, wall, cpu in zip(STAGES, w.get("wall", ()), w.get("cpu", ())):
+                self.took(f"file_{stage}", wall)
+                self.add("file_cpu_seconds", cpu, stage=stage)
 
     def text(self, prefix: str = "siltlake") -> str:
         """All of it in the Prometheus text format."""

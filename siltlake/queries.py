@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import itertools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -253,16 +254,21 @@ def flush_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = messages(spark, sf_dir).select(F.concat(F.lit("p="), F.col("partition").cast("string")).alias("path"), "offset", F.octet_length("value").alias("size"))
 
     def run(batches):
-        path, sizes, offsets = None, None, None
-        state = {}
-        for b in batches:
-            out = []
-            for path, offset, size in zip(*(c.to_pylist() for c in b.columns)):
-                flush, events, held = state.get(path, (0, 0, 0))
-                out.append((path, offset, flush))
-                events, held = events + 1, held + size + buffer.HEADER
-                state[path] = (flush + 1, 0, 0) if events >= 200 or held >= 16_384 else (flush, events, held)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out]), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64())], ["path", "offset", "flush"])
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        for path, mine in itertools.groupby(rows, lambda r: r[0]):
+            at, out = [], []
+            sizes = (at.append(offset) or size for _, offset, size in mine)
+            for flush in buffer.flush_bytes(sizes, 200, 16_384):
+                out.append((path, at.pop(), flush))
+                if len(out) == 10_000:
+                    yield table(out)
+                    out = []
+            if out:
+                yield table(out)
+
+    def table(out):
+        paths, offsets, flushes = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(paths), pa.array(offsets, pa.int64()), pa.array(flushes, pa.int64())], ["path", "offset", "flush"])
 
     ordered = df.repartition("path").sortWithinPartitions("path", "offset")
     flushed = ordered.mapInArrow(run, "path string, offset long, flush long")
@@ -362,6 +368,13 @@ SQL = {
     "stream_ingest": f"SELECT event_type AS event, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS offsets, CAST(sum(user_id) AS BIGINT) AS teams FROM events WHERE {GOOD} GROUP BY 1",
     "flush_batches": f"""{M}, r AS (SELECT value, concat('p=', "partition") AS path, (row_number() OVER (PARTITION BY "partition" ORDER BY "offset") - 1) // 100 AS flush FROM m)
       SELECT path, CAST(flush AS BIGINT) AS flush, count(*) AS events, CAST(sum(strlen(value) + 4) AS BIGINT) AS bytes FROM r GROUP BY 1, 2""",
+    "flush_bytes": f"""WITH RECURSIVE m AS ({MESSAGES}),
+      r AS MATERIALIZED (SELECT "partition" AS p, "offset" AS o, strlen(value) + 4 AS n, row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS i FROM m),
+      w AS (SELECT p, o, i, 0::BIGINT AS flush, 1::BIGINT AS events, n AS held FROM r WHERE i = 1
+        UNION ALL SELECT r.p, r.o, r.i, CASE WHEN events >= 200 OR held >= 16384 THEN flush + 1 ELSE flush END,
+          CASE WHEN events >= 200 OR held >= 16384 THEN 1 ELSE events + 1 END, CASE WHEN events >= 200 OR held >= 16384 THEN r.n ELSE held + r.n END
+        FROM w JOIN r ON r.p = w.p AND r.i = w.i + 1)
+      SELECT concat('p=', p) AS path, flush, count(*) AS events, min(o) AS first, max(o) AS last FROM w GROUP BY 1, 2""",
     "metrics_rollup": f"""{M} SELECT concat('p=', "partition") AS path, count(*) AS received, CAST(sum(strlen(value)) AS BIGINT) AS bytes_in,
       CAST(sum(CASE WHEN json_valid(value) THEN 1 ELSE 0 END) AS BIGINT) AS processed, CAST(sum(CASE WHEN json_valid(value) THEN 0 ELSE 1 END) AS BIGINT) AS parse_errors FROM m GROUP BY 1""",
     "metrics_histogram": f"""{M} SELECT "partition", bound, count(*) FILTER (bound IS NULL OR strlen(value) <= bound) AS observations

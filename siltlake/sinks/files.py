@@ -13,6 +13,7 @@ pyarrow's file system of its scheme.
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections import defaultdict
 from collections.abc import Callable
@@ -29,7 +30,8 @@ from siltlake.functions import jsonflat
 from siltlake.functions.jsonflat import BOOL, FLOAT, INT, NULL
 from siltlake.operators.shred import bucket_column, keys_column
 
-WRITTEN = "path string, name string, rows long, bytes long"
+STAGES = ("sort", "json", "write", "publish")  # of a file: rows in order, shredding, Parquet, the rest of the sink's work
+WRITTEN = "path string, name string, rows long, bytes long, wall array<double>, cpu array<double>"
 
 
 class Sink(Protocol):
@@ -166,7 +168,8 @@ def _opened(base: str):
 
 
 def write_batch(df: DataFrame, sink: Sink | str, batch: int, p: ParquetConfig, declared: list[str]) -> list[dict]:
-    """Write the rows (declared columns, _path, _file, _row). Returns a dict for each file: path, name, rows, bytes."""
+    """Write the rows (declared columns, _path, _file, _row). Returns a dict for each file: path, name, rows, bytes,
+    and the seconds that each of STAGES took, by the clock (wall) and of the task's thread (cpu)."""
     columns, sink = p.json_columns, FileSink(sink) if isinstance(sink, str) else sink
     kind, level = codec(p.compression, p.compression_level)
     bounded = [n for n in declared if n not in p.no_bounds]
@@ -175,13 +178,27 @@ def write_batch(df: DataFrame, sink: Sink | str, batch: int, p: ParquetConfig, d
 
     def write(key: tuple, rows: pa.Table) -> pa.Table:
         path, file = key[0].as_py(), key[1].as_py()
+        clocks = lambda: np.array([time.perf_counter(), time.thread_time()])
+        began = clocks()
         rows = rows.sort_by("_row")
+        in_order = clocks()
         table = dynamic_table(rows.rename_columns([named.get(n, n) for n in rows.column_names]), columns, declared)
         stats = [n for n in table.column_names if n in bounded or any(n.startswith(f"{c.name}.") for c in columns)]
         name = file_name(batch, path, file)
-        to = lambda out: pq.write_table(table, out, compression=kind, compression_level=level, row_group_size=p.max_rows_per_row_group, data_page_size=p.page_buffer_bytes, write_statistics=stats or False, use_dictionary=True)
+        spent = np.zeros(2)
+
+        def to(out) -> None:
+            nonlocal spent
+            before = clocks()
+            pq.write_table(table, out, compression=kind, compression_level=level, row_group_size=p.max_rows_per_row_group, data_page_size=p.page_buffer_bytes, write_statistics=stats or False, use_dictionary=True)
+            spent = clocks() - before
+
+        made = clocks()
         size = sink.publish(path, name, to)
-        return pa.table({"path": [path], "name": [name], "rows": pa.array([rows.num_rows], pa.int64()), "bytes": pa.array([size], pa.int64())})
+        wall, cpu = np.stack([in_order - began, made - in_order, spent, clocks() - made - spent], axis=1).tolist()
+        return pa.table({
+            "path": [path], "name": [name], "rows": pa.array([rows.num_rows], pa.int64()), "bytes": pa.array([size], pa.int64()),
+            "wall": pa.array([wall], pa.list_(pa.float64())), "cpu": pa.array([cpu], pa.list_(pa.float64()))})
 
     numbered = df.select("_path", "_file", "_row", *(F.col("`" + n.replace("`", "``") + "`").alias(d) for d, n in named.items()))
     return [r.asDict() for r in numbered.groupBy("_path", "_file").applyInArrow(write, WRITTEN).collect()]  # one row a file
