@@ -105,18 +105,20 @@ class WordTokenizer:
         parts.turn()
         split, need = [], set()
         for w in words:
-            if w in old:
-                known[w] = old[w]
+            x = old.get(w)
+            if x is not None:
+                known[w] = x
                 continue
-            m = SIMPLE.fullmatch(w) if len(w) <= self.longest else None
-            if not m:
+            if len(w) <= self.longest and w.isascii() and w.isalpha():
+                letters, tail = w.lower(), ""
+            elif len(w) <= self.longest and (m := SIMPLE.fullmatch(w)):
+                letters, tail = m[1].lower(), w[m.end(1) :]
+            else:
                 known[w] = self._alone(w)
                 continue
-            at = m.end(1)
-            pair = (w[:at].lower(), w[at:])
-            split.append((w, pair))
-            for x in pair:
-                if x and x not in parts.new:
+            split.append((w, letters, tail))
+            for x in (letters, tail) if tail else (letters,):
+                if x not in parts.new:
                     if x in parts.old:
                         parts.new[x] = parts.old[x]
                     else:
@@ -125,7 +127,7 @@ class WordTokenizer:
         for at in range(0, len(need), 4096):
             self._encode_parts(need[at : at + 4096])
         get = parts.new
-        for w, (letters, tail) in split:
+        for w, letters, tail in split:
             known[w] = get[letters] + get[tail] if tail else get[letters]
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -137,9 +139,11 @@ class WordTokenizer:
             known = self.chunks.new
             found = list(map(known.get, words))
             if None in found:
-                new = {w for w, x in zip(words, found) if x is None}
+                at = [i for i, x in enumerate(found) if x is None]
+                new = {words[i] for i in at}
                 self._learn(new)
-                found = list(map(known.__getitem__, words))
+                for i in at:
+                    found[i] = known[words[i]]
                 for w in new:
                     if len(w) > REMEMBERED:
                         del known[w]
