@@ -15,6 +15,7 @@ doc_ids are packed like any other row.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
 import os
@@ -32,8 +33,13 @@ from siltlake.llm.common import materialise, slices
 
 WINDOW = 4096
 END_ID = 2
-#: Latin letters that lower to letters, then punctuation or nothing: one or two pre-tokens.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)[.,!?;:%$&*#|()-]*")
+LETTERS = rb"a-z\xdf-\xf6\xf8-\xff"
+#: The tokenizer's pre-tokens in a plain text, in lower case, as Latin-1 bytes.
+CHUNKS = re.compile(rb"[" + LETTERS + rb"]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^ \t\n\r0-9" + LETTERS + rb"]+")
+#: What keeps a text from being plain: other characters than printable ASCII, Latin letters and common white space; marks of special tokens.
+ODD = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|<\|")
+PLAIN = bytes(c for c in range(256) if not ODD.match(chr(c)))
+LOWER = bytes(ord(chr(c).lower()) for c in range(256))
 
 
 def byte_letters() -> dict[int, str]:
@@ -45,31 +51,78 @@ def byte_letters() -> dict[int, str]:
 
 
 class Memory:
-    """A dict of at most about `bound` entries: what was not asked for while the newer half filled is forgotten."""
+    """Ids of at most about `bound` words: what was not asked for while the newer half filled is forgotten."""
 
     def __init__(self, bound: int):
-        self.half, self.new, self.old = bound // 2, {}, {}
+        self.half, self.new = bound // 2, Newer({})
+        self.of = self.new.__getitem__
+
+    def learn(self, words: list, ids: list[bytes]) -> None:
+        for word, x in zip(words, ids, strict=True):
+            self.new.asked[word] += x
+            if len(word) <= REMEMBERED:
+                self.new[word] = x
 
     def turn(self) -> None:
+        self.new.asked = {}
         if len(self.new) > self.half:
-            self.new, self.old = {}, self.new
+            self.new = Newer(dict(self.new))
+            self.of = self.new.__getitem__
+
+
+class Newer(dict):
+    """The newer half of a memory. A word that neither half knows gets an empty bytearray, always the
+    same one until `asked` is emptied; `Memory.learn` fills it in place."""
+
+    def __init__(self, old: dict):
+        self.old, self.asked = old, {}
 
+    def __missing__(self, word):
+        x = self.old.get(word)
+        if x is None:
+            return self.asked.setdefault(word, bytearray())
+        self[word] = x
+        return x
 
-#: Longer chunks are encoded anew each time, so that a memory's bytes are bounded with its entries.
+
+#: Longer words are encoded anew each time, so that a memory's bytes are bounded with its entries.
 REMEMBERED = 256
+#: Characters of texts whose unknown words are encoded together.
+TOGETHER = 1 << 18
+
+
+def plain(text: str) -> bytes | None:
+    """The text in lower case, as Latin-1 bytes, if it is plain."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return None if raw.translate(None, PLAIN) or b"<|" in raw else raw.translate(LOWER)
+
+
+def stretches(text: str) -> Iterator[str]:
+    """The text cut at white space: in turn a stretch that is plain (or empty) and a part that is not."""
+    text, at = text.replace("\n", " ").replace("\t", " ").replace("\r", " "), 0
+    while m := ODD.search(text, at):
+        start, end = text.rfind(" ", at, m.start()) + 1 or at, text.find(" ", m.start())
+        end = len(text) if end < 0 else end
+        yield text[at:start]
+        yield text[start:end]
+        at = end
+    yield text[at:]
 
 
 class WordTokenizer:
     """Ids of whole texts, through a memory of the ids of their words.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are those of its chunks
-    between spaces and line feeds, one after the other. A chunk of Latin letters with punctuation
-    after it is one or two pre-tokens, remembered apart. Pre-tokens not yet known are lowered, spelled
-    in byte letters and encoded together by the same model without its normalizer; the model ends each
-    with a token that carries the end-of-word mark, which tells where the next one starts. Other
-    chunks are encoded one by one by the tokenizer itself."""
+    The tokenizer drops white space and no token spans it or two pre-tokens, so a text's ids are those
+    of its pre-tokens, one after the other. In plain texts lower-casing and the pre-tokens' pattern come
+    down to a table of bytes and `CHUNKS`. Chunks not yet known are spelled in byte letters and encoded
+    together by the same model without its normalizer; the model ends each with a token that carries the
+    end-of-word mark, which tells where the next one starts. Parts of texts that are not plain, from
+    white space to white space, are encoded one by one by the tokenizer itself."""
 
-    def __init__(self, path: str, chunks: int = 500_000, parts: int = 400_000, longest: int = 48):
+    def __init__(self, path: str, chunks: int = 600_000, parts: int = 200_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -78,76 +131,52 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_str(json.dumps(spec))
         spec |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
         self.model = Tokenizer.from_str(json.dumps(spec))
-        letters = byte_letters()
-        self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
-        self.longest = longest
+        letters = byte_letters() | {0x20: " "}
+        self.spelled = "".join(letters[b] for b in range(256))
         self.chunks, self.parts = Memory(chunks), Memory(parts)
         self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.final[i] = token.endswith("</w>")
 
-    def _alone(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        text = " ".join(parts)
-        ids = np.array(self.model.encode_batch_fast([text if text.isascii() else text.translate(self.spelled)], add_special_tokens=False)[0].ids, "<u4")
+    def _encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        text = codecs.charmap_decode(b" ".join(chunks).decode("latin-1").encode(), "strict", self.spelled)[0]
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         ends = ((np.flatnonzero(self.final[ids]) + 1) * 4).tolist()
-        if len(ends) != len(parts):
+        if len(ends) != len(chunks):
             raise ValueError("the tokenizer does not mark the end of each pre-token")
-        raw, start, new = ids.tobytes(), 0, self.parts.new
-        for part, end in zip(parts, ends):
-            new[part] = raw[start:end]
-            start = end
-
-    def _learn(self, words: set[str]) -> None:
-        known, old, parts = self.chunks.new, self.chunks.old, self.parts
-        parts.turn()
-        split, need = [], set()
-        for w in words:
-            x = old.get(w)
-            if x is not None:
-                known[w] = x
-                continue
-            if len(w) <= self.longest and w.isascii() and w.isalpha():
-                letters, tail = w.lower(), ""
-            elif len(w) <= self.longest and (m := SIMPLE.fullmatch(w)):
-                letters, tail = m[1].lower(), w[m.end(1) :]
-            else:
-                known[w] = self._alone(w)
-                continue
-            split.append((w, letters, tail))
-            for x in (letters, tail) if tail else (letters,):
-                if x not in parts.new:
-                    if x in parts.old:
-                        parts.new[x] = parts.old[x]
-                    else:
-                        need.add(x)
-        need = list(need)
-        for at in range(0, len(need), 4096):
-            self._encode_parts(need[at : at + 4096])
-        get = parts.new
-        for w, letters, tail in split:
-            known[w] = get[letters] + get[tail] if tail else get[letters]
+        raw = ids.tobytes()
+        return [raw[start:end] for start, end in zip([0, *ends], ends)]
+
+    def _learn(self) -> None:
+        words = list(self.chunks.new.asked)
+        for at in range(0, len(words), 4096):
+            self.chunks.learn(words[at : at + 4096], self._encode_chunks(words[at : at + 4096]))
+        words = list(self.parts.new.asked)
+        self.parts.learn(words, [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words])
+
+    def _found(self, text: str) -> list:
+        """Ids of the text's words, one after the other; those of unknown words come with `_learn`."""
+        raw = plain(text)
+        if raw is not None:
+            return list(map(self.chunks.of, CHUNKS.findall(raw)))
+        out = []
+        for k, x in enumerate(stretches(text)):
+            out += [self.parts.of(x)] if k % 2 else map(self.chunks.of, CHUNKS.findall(plain(x)))
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        out = []
-        for text in texts:
+        out, at = [], 0
+        while at < len(texts):
             self.chunks.turn()
-            words = text.replace("\n", " ").split(" ")
-            known = self.chunks.new
-            found = list(map(known.get, words))
-            if None in found:
-                at = [i for i, x in enumerate(found) if x is None]
-                new = {words[i] for i in at}
-                self._learn(new)
-                for i in at:
-                    found[i] = known[words[i]]
-                for w in new:
-                    if len(w) > REMEMBERED:
-                        del known[w]
-            out.append(b"".join(found))
+            self.parts.turn()
+            found, size = [], 0
+            while at < len(texts) and size < TOGETHER:
+                found.append(self._found(texts[at]))
+                size += len(texts[at])
+                at += 1
+            self._learn()
+            out += map(b"".join, found)
         return out
 
 

@@ -66,3 +66,20 @@ def test_same_ids_as_the_tokenizer(tok):
         want = tok.tokenizer.encode(text, add_special_tokens=False).ids
         for t in (tok, small):
             assert np.frombuffer(t.ids([text])[0], "<u4").tolist() == want, text
+
+
+def test_plain_texts_without_encoding_chunks_alone(tok, monkeypatch):
+    texts = ["Some text,\r\nwith\ttabs: don't, 12,5% ''s 'RE ÉTÉ!!", "only Only, ONLY. (only)"]
+    want = [tok.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    t = packing.WordTokenizer(PATH)
+    monkeypatch.setattr(t, "tokenizer", None)
+    assert [np.frombuffer(x, "<u4").tolist() for x in t.ids(texts)] == want
+
+
+def test_any_characters(tok):
+    rng = random.Random(2)
+    near = [chr(c) for c in range(256)] + list("'''stmdrevl <||>  ") + ["<|endoftext|>", "<|ENDOFTEXT|>", "’", "́", "Σ", "İ", "你", "x" * 300, "7" * 300]
+    texts = ["".join(rng.choices(near[10:127] if k % 2 else near, k=rng.randint(0, 40))) for k in range(3000)]
+    for t in (tok, packing.WordTokenizer(PATH, chunks=20, parts=20)):
+        for text, x in zip(texts, t.ids(texts), strict=True):
+            assert np.frombuffer(x, "<u4").tolist() == tok.tokenizer.encode(text, add_special_tokens=False).ids, text
