@@ -36,9 +36,8 @@ END_ID = 2
 LETTERS = rb"a-z\xdf-\xf6\xf8-\xff"
 #: The tokenizer's pre-tokens in a plain text, in lower case, as Latin-1 bytes.
 CHUNKS = re.compile(rb"[" + LETTERS + rb"]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^ \t\n\r0-9" + LETTERS + rb"]+")
-#: What keeps a text from being plain: other characters than printable ASCII, Latin letters and common white space; marks of special tokens.
-ODD = re.compile(r"[^\t\n\r -~À-ÖØ-öø-ÿ]|<\|")
-PLAIN = bytes(c for c in range(256) if not ODD.match(chr(c)))
+#: The characters of plain texts: common white space, printable ASCII, Latin letters.
+PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *(c for c in range(0xC0, 0x100) if c not in b"\xd7\xf7")])
 LOWER = bytes(ord(chr(c).lower()) for c in range(256))
 
 
@@ -92,7 +91,7 @@ TOGETHER = 1 << 18
 
 
 def plain(text: str) -> bytes | None:
-    """The text in lower case, as Latin-1 bytes, if it is plain."""
+    """The text in lower case, as Latin-1 bytes, if it is plain, which marks of special tokens are not."""
     try:
         raw = text.encode("latin-1")
     except UnicodeEncodeError:
@@ -100,18 +99,6 @@ def plain(text: str) -> bytes | None:
     return None if raw.translate(None, PLAIN) or b"<|" in raw else raw.translate(LOWER)
 
 
-def stretches(text: str) -> Iterator[str]:
-    """The text cut at white space: in turn a stretch that is plain (or empty) and a part that is not."""
-    text, at = text.replace("\n", " ").replace("\t", " ").replace("\r", " "), 0
-    while m := ODD.search(text, at):
-        start, end = text.rfind(" ", at, m.start()) + 1 or at, text.find(" ", m.start())
-        end = len(text) if end < 0 else end
-        yield text[at:start]
-        yield text[start:end]
-        at = end
-    yield text[at:]
-
-
 class WordTokenizer:
     """Ids of whole texts, through a memory of the ids of their words.
 
@@ -119,10 +106,11 @@ class WordTokenizer:
     of its pre-tokens, one after the other. In plain texts lower-casing and the pre-tokens' pattern come
     down to a table of bytes and `CHUNKS`. Chunks not yet known are spelled in byte letters and encoded
     together by the same model without its normalizer; the model ends each with a token that carries the
-    end-of-word mark, which tells where the next one starts. Parts of texts that are not plain, from
-    white space to white space, are encoded one by one by the tokenizer itself."""
+    end-of-word mark, which tells where the next one starts. Other texts are looked up by their parts
+    between spaces and line feeds; unknown parts are cut into chunks if they are plain, or else encoded
+    one by one by the tokenizer itself."""
 
-    def __init__(self, path: str, chunks: int = 600_000, parts: int = 200_000):
+    def __init__(self, path: str, chunks: int = 600_000, parts: int = 300_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -147,22 +135,22 @@ class WordTokenizer:
         raw = ids.tobytes()
         return [raw[start:end] for start, end in zip([0, *ends], ends)]
 
-    def _learn(self) -> None:
-        words = list(self.chunks.new.asked)
-        for at in range(0, len(words), 4096):
-            self.chunks.learn(words[at : at + 4096], self._encode_chunks(words[at : at + 4096]))
-        words = list(self.parts.new.asked)
-        self.parts.learn(words, [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words])
+    def _cut(self, raw: bytes) -> list:
+        return list(map(self.chunks.of, CHUNKS.findall(raw)))
 
     def _found(self, text: str) -> list:
         """Ids of the text's words, one after the other; those of unknown words come with `_learn`."""
         raw = plain(text)
-        if raw is not None:
-            return list(map(self.chunks.of, CHUNKS.findall(raw)))
-        out = []
-        for k, x in enumerate(stretches(text)):
-            out += [self.parts.of(x)] if k % 2 else map(self.chunks.of, CHUNKS.findall(plain(x)))
-        return out
+        return list(map(self.parts.of, text.replace("\n", " ").split(" "))) if raw is None else self._cut(raw)
+
+    def _learn(self) -> None:
+        parts = list(self.parts.new.asked)
+        cut = [None if (raw := plain(x)) is None else self._cut(raw) for x in parts]
+        chunks = list(self.chunks.new.asked)
+        for at in range(0, len(chunks), 4096):
+            self.chunks.learn(chunks[at : at + 4096], self._encode_chunks(chunks[at : at + 4096]))
+        alone = lambda x: np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+        self.parts.learn(parts, [alone(x) if c is None else b"".join(c) for x, c in zip(parts, cut)])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
