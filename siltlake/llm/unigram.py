@@ -11,8 +11,10 @@ pieces; the law is a parameter and nothing is trained.
 
 No piece holds a marker after another character, so a best path can be cut before every run of
 markers: texts are encoded by pre-token (a run of markers and the run of other characters after it)
-and the ids of pre-tokens are remembered, as many as `bound` at once and none of more than `longest`
-characters, so that the memory's bytes are bounded too.
+and the ids of pre-tokens are remembered, about as many as `bound` at once and none of more than `longest`
+characters, so that the memory's bytes are bounded too; what was not asked for while half of it filled
+is forgotten. Pre-tokens not yet known are encoded together: each step of the Viterbi recursion is
+taken for all of them at once, in arrays. Longer ones are encoded one by one.
 
 Token counts need no path. The distinct pre-tokens of a batch are gone through in sorted order,
 which walks their trie depth first: the forward scores, the token counts and the pieces under way at
@@ -30,6 +32,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
@@ -41,9 +44,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltlake.llm.common import slices
+from siltlake.llm.packing import Memory
 
 MARK = "▁"
 PRETOKEN = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Characters of texts whose unknown pre-tokens are encoded together, and the most pre-tokens in one array.
+TOGETHER = 1 << 20
+ROWS = 4096
 
 
 class DoubleArray:
@@ -144,7 +151,12 @@ class Unigram:
         self.text_of = [p.replace(MARK, " ").encode() for p in pieces]
         for value, i in enumerate(bytes_at):
             self.text_of[i] = bytes([value])
-        self.known: dict[str, bytes] = {}
+        self.arrays = tuple(np.array(x, np.int32) for x in (self.trie.base, self.trie.check, self.trie.value))
+        self.reached = np.array([scores.get(v, -math.inf) for v in self.trie.value])
+        self.code_of = np.zeros(sys.maxunicode + 1, np.int32)
+        self.code_of[list(map(ord, self.trie.codes))] = list(self.trie.codes.values())
+        self.byte_ids = np.array(bytes_at, "<i4")
+        self.memory = Memory(bound)
         self.counted: dict[str, int] = {}
 
     def viterbi(self, word: str) -> list[int]:
@@ -174,6 +186,60 @@ class Unigram:
             n = i
         return out[::-1]
 
+    def viterbi_together(self, words: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of the path that `viterbi` finds for each word, none of which is empty."""
+        base, check, value = self.arrays
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(-lengths, kind="stable")  # the words that reach a place come first
+        sizes = lengths[order]
+        most, n = int(sizes[0]), len(words)
+        points = np.zeros((n, most), np.uint32)
+        points[np.arange(most) < sizes[:, None]] = np.frombuffer("".join([words[k] for k in order]).encode("utf-32-le", "surrogatepass"), "<u4")
+        at = np.ascontiguousarray(self.code_of[points].T)  # 0, the code of no character, leads nowhere
+        best = np.full((most + 1, n), -math.inf)
+        best[0] = 0.0
+        back, piece = np.zeros((most + 1, n), np.int32), np.full((most + 1, n), -1, np.int32)
+        reach = np.searchsorted(-sizes, -np.arange(most))  # words longer than i
+        for i in range(most):
+            here = best[i, : reach[i]]
+            rows, node, single, j = np.arange(reach[i]), np.zeros(reach[i], np.int32), [], i
+            while j < most:
+                to = base[node] + at[j, rows]
+                going = np.flatnonzero(check[to] == node)
+                if not len(going):
+                    break
+                rows, node, j = rows[going], to[going], j + 1
+                score = here[rows] + self.reached[node]
+                better = np.flatnonzero(score > best[j, rows])
+                r = rows[better]
+                best[j, r], back[j, r], piece[j, r] = score[better], i, value[node[better]]
+                if j == i + 1:
+                    single = rows[value[node] >= 0]
+            score = here + self.lost
+            score[single] = -math.inf
+            r = np.flatnonzero(score > best[i + 1, : reach[i]])
+            best[i + 1, r], back[i + 1, r], piece[i + 1, r] = score[r], i, -1
+        ends, rows, j = np.zeros((n, most + 1), bool), np.arange(n), sizes
+        while len(rows):
+            ends[rows, j] = True
+            j = back[j, rows]
+            rows, j = rows[j > 0], j[j > 0]
+        row, j = np.nonzero(ends)
+        ids = piece[j, row]
+        lost = ids < 0
+        if lost.any():
+            chars = points[row[lost], j[lost] - 1]
+            width = np.ones(len(ids), np.int64)
+            width[lost] += sum((chars >= x).astype(np.int64) for x in (0x80, 0x800, 0x10000))
+            row, ids, lost = row.repeat(width), ids.repeat(width), lost.repeat(width)
+            raw = chars.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+            ids[lost] = self.byte_ids[np.frombuffer(raw, np.uint8)]
+        raw, out = ids.astype("<i4").tobytes(), [b""] * n
+        upto = (np.bincount(row, minlength=n).cumsum() * 4).tolist()
+        for k, start, end in zip(order.tolist(), [0, *upto], upto):
+            out[k] = raw[start:end]
+        return out
+
     def forward_counts(self, words: Iterable[str]) -> dict[str, int]:
         """Tokens of each word. Shared prefixes are computed once."""
         base, check, value, score_at, codes = self.trie.base, self.trie.check, self.trie.value, self.score_at, self.trie.codes
@@ -213,21 +279,31 @@ class Unigram:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > self.bound:
-            self.known = {}
-        known, out = self.known, []
-        for text in texts:
-            words = self.pretokens(text)
-            found = list(map(known.get, words))
-            if None in found:
-                new = {w for w, x in zip(words, found) if x is None}
-                for w in new:
-                    known[w] = np.array(self.viterbi(w), "<i4").tobytes()
-                found = list(map(known.__getitem__, words))
-                self._forget_long(known, new)
-            out.append(b"".join(found))
+        out, at = [], 0
+        while at < len(texts):
+            self.memory.turn()
+            of, found, size = self.memory.of, [], 0
+            while at < len(texts) and size < TOGETHER:
+                found.append(list(map(of, self.pretokens(texts[at]))))
+                size += len(texts[at])
+                at += 1
+            self._learn()
+            out += map(b"".join, found)
         return out
 
+    def _learn(self) -> None:
+        asked = self.memory.new.asked
+        short = sorted((w for w in asked if len(w) <= self.longest), key=len)
+        for k in range(0, len(short), ROWS):
+            self.memory.learn(short[k : k + ROWS], self.viterbi_together(short[k : k + ROWS]))
+        for w in asked:
+            if len(w) > self.longest:
+                asked[w] += np.array(self.viterbi(w), "<i4").tobytes()
+
+    @property
+    def known(self) -> dict[str, bytes]:
+        return self.memory.new
+
     def _forget_long(self, memory: dict, words: Iterable[str]) -> None:
         for w in words:
             if len(w) > self.longest:
