@@ -14,7 +14,8 @@ markers: texts are encoded by pre-token (a run of markers and the run of other c
 and the ids of pre-tokens are remembered, about as many as `bound` at once and none of more than `longest`
 characters, so that the memory's bytes are bounded too; what was not asked for while half of it filled
 is forgotten. Pre-tokens not yet known are encoded together: each step of the Viterbi recursion is
-taken for all of them at once, in arrays. Longer ones are encoded one by one.
+taken for all of them at once, in arrays. Longer ones, and those of a batch that adds few, are encoded
+one by one.
 
 Token counts need no path. The distinct pre-tokens of a batch are gone through in sorted order,
 which walks their trie depth first: the forward scores, the token counts and the pieces under way at
@@ -48,9 +49,10 @@ from siltlake.llm.packing import Memory
 
 MARK = "▁"
 PRETOKEN = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Characters of texts whose unknown pre-tokens are encoded together, and the most pre-tokens in one array.
-TOGETHER = 1 << 20
-ROWS = 4096
+#: Characters of texts whose unknown pre-tokens are encoded together; the most pre-tokens in one array and the
+#: fewest, as below that many the calls on arrays cost more than going through the pre-tokens one by one.
+TOGETHER = 1 << 18
+ROWS, FEWEST = 4096, 256
 
 
 class DoubleArray:
@@ -294,11 +296,13 @@ class Unigram:
     def _learn(self) -> None:
         asked = self.memory.new.asked
         short = sorted((w for w in asked if len(w) <= self.longest), key=len)
+        alone = lambda w: np.array(self.viterbi(w), "<i4").tobytes()
         for k in range(0, len(short), ROWS):
-            self.memory.learn(short[k : k + ROWS], self.viterbi_together(short[k : k + ROWS]))
+            some = short[k : k + ROWS]
+            self.memory.learn(some, self.viterbi_together(some) if len(some) >= FEWEST else list(map(alone, some)))
         for w in asked:
             if len(w) > self.longest:
-                asked[w] += np.array(self.viterbi(w), "<i4").tobytes()
+                asked[w] += alone(w)
 
     @property
     def known(self) -> dict[str, bytes]:

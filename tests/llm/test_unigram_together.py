@@ -60,9 +60,16 @@ def test_batches_of_texts_of_any_size(model, monkeypatch):
     rng = random.Random(8)
     texts = ["", " ", "a", "  a  ", *("".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 300))) for _ in range(60))]
     want = [b"".join(alone(model, w) for w in model.pretokens(t)) for t in texts]
-    for together, rows in ((1, 1), (100, 7), (1 << 20, 4096)):
+    for together, rows, fewest in ((1, 1, 1), (100, 7, 1), (100, 7, 5), (1 << 20, 4096, 1), (1 << 20, 4096, 10_000)):
         monkeypatch.setattr(unigram, "TOGETHER", together)
         monkeypatch.setattr(unigram, "ROWS", rows)
+        monkeypatch.setattr(unigram, "FEWEST", fewest)
         model.memory = unigram.Memory(model.bound)
         assert model.encode(texts) == want
     assert model.encode([]) == []
+
+
+def test_few_unknown_words_are_encoded_one_by_one(model, monkeypatch):
+    monkeypatch.setattr(model, "viterbi_together", None)
+    for text in ("a few words", "and some more of them"):
+        assert model.encode([text]) == [b"".join(alone(model, w) for w in model.pretokens(text))]
